@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The loads this library rebuilds are batch truncate-and-reload jobs; there is
+no stream, watermark or stateful operator to express with Structured
+Streaming.  The package exists so the layout matches the other areas.
+"""

@@ -10,8 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import party
-from .plans.spec import checked_output, run_loads
+from .plans import account, address, agreement, contact, party, party_agreement, xref
+from .plans.spec import checked_output, run_groups, run_loads
 from .sources.fixtures import load_sources
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,7 +24,34 @@ def register(name: str):
     return deco
 
 
-@register("load_party")
-def q_load_party(spark, sf_dir):
+def _loads(name, specs, independent=False):
+    @register(name)
+    def q(spark, sf_dir):
+        src = load_sources(spark, sf_dir)
+        return checked_output(run_loads(specs, src, independent=independent))
+    q.__name__ = f"q_{name}"
+    q.__doc__ = f"History load ``{name}`` over the stand-in sources of ``sf_dir``."
+    return q
+
+
+_loads("load_party", [party.LOAD_PARTY])
+_loads("load_account", [account.LOAD_ACCOUNT])
+_loads("load_address_all", address.ADDRESS_LOADS)
+_loads("load_agreement_sponsor", [agreement.LOAD_AGREEMENT_SPONSOR])
+_loads("load_agreement_plan", [agreement.LOAD_AGREEMENT_PLAN])
+_loads("load_agreement_participant", [agreement.LOAD_AGREEMENT_PARTICIPANT])
+_loads("load_agreement_all", agreement.AGREEMENT_LOADS, independent=True)
+_loads("load_customer_agreement", [agreement.LOAD_CUSTOMER_AGREEMENT])
+_loads("load_customer_party_address", [contact.LOAD_CUSTOMER_PARTY_ADDRESS])
+_loads("load_party_address_all", contact.PARTY_ADDRESS_LOADS)
+_loads("load_party_email", [contact.LOAD_PARTY_EMAIL])
+_loads("load_party_phone_all", [contact.LOAD_PARTY_PHONE])
+_loads("load_party_agreement_all", party_agreement.PARTY_AGREEMENT_LOADS, independent=True)
+
+
+@register("load_party_xref_all")
+def q_load_party_xref_all(spark, sf_dir):
+    """The eight cross-reference loads: folded within an id type, id types
+    side by side (they never share a key)."""
     src = load_sources(spark, sf_dir)
-    return checked_output(run_loads([party.LOAD_PARTY], src))
+    return checked_output(run_groups(xref.XREF_GROUPS, src))

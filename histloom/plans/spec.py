@@ -107,6 +107,16 @@ def run_loads(specs: Sequence[LoadSpec], src: Sources, history: DataFrame | None
     return work
 
 
+def run_groups(groups: Sequence[Sequence[LoadSpec]], src: Sources, **kw) -> DataFrame:
+    """Specs folded within each group; groups write disjoint keys (e.g. a
+    different id type each), so their results are simply appended."""
+    out = None
+    for g in groups:
+        r = run_loads(g, src, **kw)
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
 def checked_output(df: DataFrame) -> DataFrame:
     """Deterministic, driver-comparable view of a load result: drops the
     process timestamp and renders ``*_dtm`` timestamps as text (sentinel

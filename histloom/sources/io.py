@@ -18,6 +18,7 @@ def session(master: str = "local[8]", shuffle_partitions: int = 8,
             .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
             .config("spark.sql.session.timeZone", "UTC")
             .config("spark.ui.enabled", "false")
+            .config("spark.ui.showConsoleProgress", "false")
             .config("spark.driver.memory", "16g")
             .getOrCreate())
 

@@ -5,5 +5,11 @@ from __future__ import annotations
 from . import loads
 
 ORACLES = {
-    "load_party": loads.load_party,
+    name: getattr(loads, name) for name in (
+        "load_party", "load_account", "load_address_all", "load_agreement_sponsor",
+        "load_agreement_plan", "load_agreement_participant", "load_agreement_all",
+        "load_customer_agreement", "load_customer_party_address", "load_party_address_all",
+        "load_party_email", "load_party_phone_all", "load_party_agreement_all",
+        "load_party_xref_all",
+    )
 }

@@ -55,3 +55,6 @@ def q_load_party_xref_all(spark, sf_dir):
     side by side (they never share a key)."""
     src = load_sources(spark, sf_dir)
     return checked_output(run_groups(xref.XREF_GROUPS, src))
+
+
+from . import catalog_ops  # noqa: E402,F401  (registers the operator-level queries)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import loads
+from . import loads, ops
 
 ORACLES = {
     name: getattr(loads, name) for name in (
@@ -13,3 +13,4 @@ ORACLES = {
         "load_party_xref_all",
     )
 }
+ORACLES.update(ops.OPS)

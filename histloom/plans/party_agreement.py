@@ -45,7 +45,8 @@ def _bridge(df, nr, type_, party_id, role, product=None, account=None, sub_role=
     )
 
 
-UNBOUNDED = (date_lit("0001-01-01"), date_lit("9999-12-31"))
+def _unbounded():
+    return date_lit("0001-01-01"), date_lit("9999-12-31")
 
 
 def _derive_group(src, as_of):
@@ -58,8 +59,8 @@ def _derive_group(src, as_of):
     nr = composite_id(clean_string("icu_id"), clean_string(int_text("spnsr_cmpny_id")))
     return _bridge(df, nr, MASTER, sponsor_party_id(), GROUP,
                    checksum=row_checksum(blank(), blank(), blank()),
-                   begin=F.coalesce(F.col("_eff"), UNBOUNDED[0]),
-                   end=F.coalesce(F.col("_trm"), UNBOUNDED[1]))
+                   begin=F.coalesce(F.col("_eff"), _unbounded()[0]),
+                   end=F.coalesce(F.col("_trm"), _unbounded()[1]))
 
 
 def _with_plan(df, plan, trim_flag):
@@ -78,7 +79,7 @@ def _derive_sponsor_role(src, as_of):
     prod = clean_string("_prod")
     return _bridge(df, nr, PARTICIPANT, sponsor_party_id(), SPONSOR, product=prod,
                    checksum=row_checksum(prod, blank(), blank()),
-                   begin=UNBOUNDED[0], end=UNBOUNDED[1])
+                   begin=_unbounded()[0], end=_unbounded()[1])
 
 
 def _derive_participant_role(src, as_of):
@@ -93,7 +94,7 @@ def _derive_participant_role(src, as_of):
     return _bridge(df, nr, PARTICIPANT, F.col("party_id"), PARTICIPANT_ROLE, product=prod,
                    account=hash_key(*parts), sub_role=sub,
                    checksum=row_checksum(prod, *parts, sub),
-                   begin=UNBOUNDED[0], end=UNBOUNDED[1])
+                   begin=_unbounded()[0], end=_unbounded()[1])
 
 
 def _derive_beneficiary_role(src, as_of):
@@ -105,7 +106,7 @@ def _derive_beneficiary_role(src, as_of):
     prod = clean_string("_prod")
     return _bridge(df, nr, PARTICIPANT, F.col("party_id"), BENEFICIARY, product=prod,
                    checksum=row_checksum(prod, blank(), blank()),
-                   begin=UNBOUNDED[0], end=UNBOUNDED[1])
+                   begin=_unbounded()[0], end=_unbounded()[1])
 
 
 PARTY_AGREEMENT_LOADS = [

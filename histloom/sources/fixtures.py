@@ -209,6 +209,12 @@ class Sources:
 _cache: dict[tuple[int, str], Sources] = {}
 
 
+def use_sources(spark: SparkSession, sf_dir: str, sources: Sources) -> None:
+    """Make ``load_sources(spark, sf_dir)`` return ``sources`` (e.g. the
+    stand-ins after ``materialize``)."""
+    _cache[(id(spark), sf_dir)] = sources
+
+
 def load_sources(spark: SparkSession, sf_dir: str) -> Sources:
     """Register the driver tables of ``sf_dir`` and the stand-ins as temporary
     views with session-unique names; return the stand-ins as DataFrames."""

@@ -16,14 +16,23 @@ from pyspark.sql import functions as F
 from ..functions.text import ColumnLike, clean_string, col_, normalise
 
 # Upper bound (rows) for broadcasting a lookup side.
-BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_ROWS = 250_000
+
+
+_size_checked: dict[tuple[int, int, int], bool] = {}
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df``.
-    The check reads at most ``max_rows + 1`` rows of the (filtered) lookup."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    The check reads at most ``max_rows + 1`` rows of the (filtered) lookup;
+    its answer is remembered per session and lookup plan."""
+    spark = df.sparkSession
+    key = (id(spark), df.semanticHash(), max_rows)
+    small = _size_checked.get(key)
+    if small is None:
+        small = df.limit(max_rows + 1).count() <= max_rows
+        _size_checked[key] = small
+    return F.broadcast(df) if small else df
 
 
 def xref_subset(xref: DataFrame, id_type: str) -> DataFrame:

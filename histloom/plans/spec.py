@@ -59,9 +59,14 @@ def prepared(spec: LoadSpec, src: Sources, as_of) -> DataFrame:
 
 
 def finish(spec: LoadSpec, rows: DataFrame, target: DataFrame | None, as_of,
-           process_ts: Column | None) -> DataFrame:
+           process_ts: Column | None, materialize: bool = True) -> DataFrame:
     tf = spec.target_filter() if spec.target_filter else None
     c = keep_changes(classify_changes(rows, target, spec.keys, tf))
+    if materialize:
+        # The current-row flag reads the rows twice (per-key aggregate + the
+        # rows themselves); store them once so the source joins, DISTINCT and
+        # change capture run a single time.
+        c = cut_lineage(c)
     c = mark_current(c, spec.keys)
     if spec.restart_begin_on_update:
         c = restart_begin_on_update(c, as_of)
@@ -71,9 +76,10 @@ def finish(spec: LoadSpec, rows: DataFrame, target: DataFrame | None, as_of,
 
 
 def run_load(spec: LoadSpec, src: Sources, target: DataFrame | None = None,
-             as_of=DEFAULT_AS_OF, process_ts: Column | None = None) -> DataFrame:
+             as_of=DEFAULT_AS_OF, process_ts: Column | None = None,
+             materialize: bool = True) -> DataFrame:
     """One INSERT...SELECT of the template: the new I/U rows for ``target``."""
-    return finish(spec, prepared(spec, src, as_of), target, as_of, process_ts)
+    return finish(spec, prepared(spec, src, as_of), target, as_of, process_ts, materialize)
 
 
 def run_loads(specs: Sequence[LoadSpec], src: Sources, history: DataFrame | None = None,
@@ -95,14 +101,13 @@ def run_loads(specs: Sequence[LoadSpec], src: Sources, history: DataFrame | None
         for s in specs[1:]:
             rows = rows.unionByName(prepared(s, src, as_of))
         target = effective_target(history, None, lead.keys) if history is not None else None
-        return finish(lead, rows, target, as_of, process_ts)
+        return finish(lead, rows, target, as_of, process_ts, materialize)
 
     work: DataFrame | None = None
     for i, spec in enumerate(specs):
         target = work if history is None else effective_target(history, work, spec.keys)
-        new = run_load(spec, src, target, as_of, process_ts)
-        if materialize and i < len(specs) - 1:
-            new = cut_lineage(new)
+        # with materialize, the flagged rows already read from a stored copy
+        new = run_load(spec, src, target, as_of, process_ts, materialize)
         work = new if work is None else work.unionByName(new)
     return work
 

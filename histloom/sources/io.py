@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,10 +42,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder (reliable: survives
-    executor loss) and continue from the stored copy."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise ``df`` as a parquet table in the shared checkpoint folder
+    (survives executor loss) and continue from the stored copy.
+
+    One job computes and writes the rows.  (An eager reliable ``checkpoint()``
+    of a non-persisted DataFrame computes it twice: once for the count, once
+    more to write the checkpoint files.)"""
+    spark = df.sparkSession
+    path = scratch_path(spark, f"cut-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

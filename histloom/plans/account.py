@@ -108,10 +108,12 @@ def _derive_account(src, as_of):
     key = hash_key(F.lit("PTCP"), F.col("party_id"), F.lit("TRAC"), F.lit("PCA"), blank(), nr,
                    blank())
     b = bounds("rcrd_effctv_dt", "rcrd_trm_dt", "0001-01-01", "9999-12-31")
-    # DISTINCT before the checksum, as the source query does.
+    # The source query de-duplicates here and again after the checksum; the
+    # checksum is a function of the attributes, so the template's one
+    # DISTINCT gives the same rows with one shuffle less.
     base = df.select(key.alias("dim_account_natural_key_hash_uuid"),
                      *[v.alias(k) for k, v in attrs.items()],
-                     *[v.alias(k) for k, v in b.items()]).distinct()
+                     *[v.alias(k) for k, v in b.items()])
     return base.withColumn("check_sum", row_checksum(*attrs.keys()))
 
 

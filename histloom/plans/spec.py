@@ -89,8 +89,9 @@ def run_loads(specs: Sequence[LoadSpec], src: Sources, history: DataFrame | None
 
     Sequential (default): each spec is classified against the rows the earlier
     specs produced (and, when ``history`` is given, the conformed history per
-    ``effective_target``).  Each intermediate result is checkpointed to the
-    shared checkpoint folder so later specs do not recompute earlier ones.
+    ``effective_target``).  With ``materialize`` each spec's rows are stored
+    as parquet in the shared checkpoint folder, so later specs read them
+    instead of recomputing earlier ones.
 
     ``independent=True`` when the specs' keys cannot overlap (a type or role
     code is part of the key): all derived rows go through one classify and

@@ -27,7 +27,13 @@ def session(master: str = "local[8]", shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder: ``spark.checkpoint.dir`` of the cluster.
     Only a local session without one gets a fresh scratch folder."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # sessions without a local SparkContext (Spark Connect)
+        conf = spark.conf.get("spark.checkpoint.dir", None)
+        if not conf:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS/S3)")
+        return conf
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -33,3 +33,20 @@ def test_filters_and_columns_reach_scan(spark):
     p = plan_text(df)
     assert "PushedFilters: [IsNotNull(actv_rcrd_ind), EqualTo(actv_rcrd_ind,y)]" in p
     assert "ReadSchema: struct<icu_id:string,actv_rcrd_ind:string>" in p
+
+
+def test_current_row_flag_has_no_window(spark, src):
+    """The flag is an aggregate joined back on the key: a hot key is combined
+    map-side instead of being sorted in one window task."""
+    from histloom.operators.history import mark_current
+    from histloom.plans import party
+    from histloom.plans.spec import prepared
+    rows = prepared(party.LOAD_PARTY, src, "2001-01-01")
+    p = plan_text(mark_current(rows, party.PARTY_KEY))
+    assert "Window" not in p
+    assert "SortAggregate" in p or "HashAggregate" in p
+
+
+def test_latest_per_key_has_no_window(spark):
+    p = plan_text(catalog.QUERIES["latest_per_key"](spark, SF_SMALL))
+    assert "Window" not in p

@@ -57,3 +57,37 @@ def test_latest_per_key_hot_key_matches_brute_force(spark):
         if r[0] not in best or _desc_key(r, idx) > _desc_key(best[r[0]], idx):
             best[r[0]] = r
     assert got == {k: v[6] for k, v in best.items()}
+
+
+def test_classify_hot_key_matches_brute_force(spark):
+    from histloom.operators.history import classify_changes
+    rnd = random.Random(3)
+    tgt, src = [], []
+    for i in range(2000):
+        k = "hot" if i % 3 == 0 else f"k{rnd.randint(0, 300)}"
+        end = OPEN if rnd.random() < 0.7 else dt.date(2000, 1, 1)
+        b = dt.date(1995, 1, 1) + dt.timedelta(days=rnd.randint(0, 30))
+        tgt.append((k, rnd.choice(["a", "b", None]), b, dt.datetime.combine(b, dt.time()), end,
+                    dt.datetime.combine(end, dt.time()), rnd.random() < 0.8, f"t{i}"))
+    for i in range(1500):
+        k = "hot" if i % 3 == 0 else f"k{rnd.randint(0, 400)}"
+        src.append((k, rnd.choice(["a", "b", None]), f"s{i}"))
+    t = spark.createDataFrame(tgt, "k string, check_sum string, begin_dt date, begin_dtm timestamp_ntz, "
+                                   "end_dt date, end_dtm timestamp_ntz, current_row_ind boolean, a string")
+    s = spark.createDataFrame(src, "k string, check_sum string, a string").repartition(16)
+    got = {r.a: r.change_type for r in classify_changes(s, t.repartition(16), ["k"]).collect()}
+    # latest current open target row per key: end_dtm, end_dt, begin_dtm, begin_dt, check_sum desc
+    latest = {}
+    for r in tgt:
+        if r[6] and r[4] == OPEN:
+            key = tuple((v is not None, v) for v in (r[5], r[4], r[3], r[2], r[1]))
+            if r[0] not in latest or key > latest[r[0]][0]:
+                latest[r[0]] = (key, r[1])
+    want = {}
+    for k, cs, a in src:
+        if k not in latest:
+            want[a] = "I"
+        else:
+            tcs = latest[k][1]
+            want[a] = "U" if (tcs is not None and cs is not None and tcs != cs) else "D"
+    assert got == want

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import sharding, url_filter
+from . import pii, quality_rules, sharding, url_filter
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,3 +58,16 @@ FROM ruled
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict of every url of pages by the production rules."""
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))
+
+
+@register("op2_anchor_expansion_pii")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every whole text of documents."""
+    return pii.find_personal_data(table(spark, sf_dir, "documents"))
+
+
+@register("op5_risk_controlled_rules")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every whole text of documents; cutoffs per language
+    from all labelled documents."""
+    return quality_rules.judge_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import pii, quality_rules, sharding, url_filter
+from . import merge_dropout, pii, quality_rules, sharding, token_counts, url_filter
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +71,16 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every whole text of documents; cutoffs per language
     from all labelled documents."""
     return quality_rules.judge_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op9_merge_dropout_pieces")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole text of documents with seeded merge-dropout, checked
+    by decoding."""
+    return merge_dropout.encode_documents(table(spark, sf_dir, "documents"))
+
+
+@register("op10_trie_token_counts")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every whole text of documents."""
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"))

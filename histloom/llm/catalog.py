@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import merge_dropout, pii, quality_rules, sharding, token_counts, url_filter
+from . import merge_dropout, near_duplicates, pii, quality_rules, sharding, token_counts, url_filter
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +84,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every whole text of documents."""
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
+
+
+@register("op6_fast_similarity_minhash")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents")).drop("row_key")

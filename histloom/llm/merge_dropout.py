@@ -2,12 +2,13 @@
 
 Merges are taken from an agenda (best score first, leftmost of equals).  Each
 candidate that comes up is skipped with probability ``dropout``, decided by a
-hash keyed with the seed, the document's variant, the pre-token and the place of
-the merge: the same inputs give the same ids on any executor and retry, another
+hash keyed with the seed, the document's variant, the stretch of text and the
+place of the merge: the same inputs give the same ids on any executor and retry, another
 seed or variant other ids.  Any segmentation decodes to the same text."""
 
 from __future__ import annotations
 
+import math
 import zlib
 from array import array
 from collections.abc import Callable
@@ -25,24 +26,47 @@ from .pieces import DEFAULT_MODEL, MARK, Memo, Vocabulary, load_vocabulary, pre_
 _U64 = (1 << 64) - 1
 #: Odd factors of the coin's multiplicative hash (golden-ratio family).
 _F1, _F2, _F3 = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93
+#: Stretches up to this length keep their agenda in a list, longer ones in a heap.
+SHORT = 24
 
 
 def skips(key: int, left: int, middle: int, right: int, bar: int) -> bool:
     """The coin of the candidate merging [left, middle) with [middle, right)."""
-    x = (key ^ (left * _F1 + middle * _F2 + right * _F3)) & _U64
-    x = ((x ^ (x >> 29)) * _F1) & _U64
-    x = ((x ^ (x >> 32)) * _F2) & _U64
-    return (x >> 40) < bar
+    x = (key + left * _F1 + middle * _F2 + right * _F3) * _F1 & _U64
+    return ((x ^ (x >> 32)) * _F2 >> 40) & 0xFFFFFF < bar
 
 
-def segment(word: str, vocab: Vocabulary, key: int = 0, bar: int = 0) -> list[int]:
-    """Ids of one pre-token (spaces written as spaces).  ``bar`` is the dropout
-    probability times 2**24."""
-    if word == "\n" or word == MARK:
-        return vocab.bytes_of(word)
-    word = word.replace(" ", MARK)
+def _from_list(word: str, scores: dict[str, float], key: int, bar: int) -> list[str]:
+    """Pieces of a short stretch.  ``agenda[i]`` is the score of merging the
+    symbols i and i + 1, or minus infinity (no piece, or skipped); the best is
+    taken first, of equals the leftmost."""
+    symbols = list(word)
+    get, never = scores.get, -math.inf
+    agenda = [get(a + b, never) for a, b in zip(symbols, symbols[1:])]
+    while agenda:
+        best = max(agenda)
+        if best == never:
+            break
+        i = agenda.index(best)
+        if bar:
+            left = len("".join(symbols[:i])) if i else 0
+            middle = left + len(symbols[i])
+            if skips(key, left, middle, middle + len(symbols[i + 1]), bar):
+                agenda[i] = never
+                continue
+        merged = symbols[i] + symbols[i + 1]
+        symbols[i:i + 2] = (merged,)
+        del agenda[i]
+        if i < len(agenda):
+            agenda[i] = get(merged + symbols[i + 1], never)
+        if i:
+            agenda[i - 1] = get(symbols[i - 1] + merged, never)
+    return symbols
+
+
+def _from_heap(word: str, scores: dict[str, float], key: int, bar: int) -> list[str]:
+    """Pieces of a stretch of any length, with the agenda in a heap."""
     n = len(word)
-    scores = vocab.scores
     end = list(range(1, n + 1))                # end[i]: where the symbol at i ends; 0 if merged away
     before = list(range(-1, n))                # before[i]: start of the symbol left of the one at i
     agenda = []
@@ -70,20 +94,40 @@ def segment(word: str, vocab: Vocabulary, key: int = 0, bar: int = 0) -> list[in
                 heappush(agenda, (-s, p, left, right))
     out, i = [], 0
     while i < n:
-        e = end[i]
-        out += [vocab.ids[word[i:e]]] if e - i > 1 else vocab.char_ids(word[i])
-        i = e
+        out.append(word[i:end[i]])
+        i = end[i]
+    return out
+
+
+def segment(word: str, vocab: Vocabulary, key: int = 0, bar: int = 0) -> list[int]:
+    """Ids of a stretch of a pre-token, spaces written as the mark.  ``bar`` is
+    the dropout probability times 2**24."""
+    pieces = (_from_list if len(word) <= SHORT else _from_heap)(word, vocab.scores, key, bar)
+    out = []
+    for p in pieces:
+        found = vocab.ids.get(p)
+        if found is None:
+            out += vocab.bytes_of(p)
+        else:
+            out.append(found)
     return out
 
 
 def encoder(vocab: Vocabulary, seed: int, variant: int, dropout: float, memo_size: int) -> Callable[[str], bytes]:
-    """Text to its ids as little-endian int32 bytes."""
+    """Text to its ids as int32 bytes."""
     bar = round(dropout * (1 << 24))
     salt = (seed * 1_000_003 + variant) & _U64
+    digest = xxhash.xxh64_intdigest
+
+    def part(stretch: str) -> bytes:
+        return array("i", segment(stretch, vocab, digest(stretch.encode(), salt), bar)).tobytes()
+    parts = Memo(part, memo_size)
 
     def compute(word: str) -> bytes:
-        key = xxhash.xxh64_intdigest(word.encode(), salt)
-        return np.array(segment(word, vocab, key, bar), "<i4").tobytes()
+        if word == MARK:                       # a literal mark is no space: its bytes
+            return array("i", vocab.bytes_of(word)).tobytes()
+        stretches = vocab.stretches(word.replace(" ", MARK))
+        return b"".join(map(parts.__getitem__, stretches))
     memo = Memo(compute, memo_size)
     get = memo.__getitem__
     return lambda text: b"".join(map(get, pre_tokens(text)))
@@ -124,7 +168,7 @@ def encode_documents(docs: DataFrame, model: str = DEFAULT_MODEL, seed: int = 1,
                 ids = encode[v](text) if text else b""
                 variant.append(v)
                 nulls.append(text is None)
-                good.append(not text or decode_ids(np.frombuffer(ids, "<i4").tolist(), vocab) == text)
+                good.append(not text or decode_ids(np.frombuffer(ids, "i4").tolist(), vocab) == text)
                 chunks.append(ids)
                 total += len(ids) // 4
                 sizes.append(total)

@@ -35,13 +35,21 @@ class Vocabulary:
     scores: dict[str, float]
     byte_ids: list[int]
     surface: list[bytes] = field(repr=False)
+    #: Pairs of characters that stand side by side in some piece.
+    joins: frozenset[str] = field(default=frozenset(), repr=False)
 
     MAX_PIECES = 1_000_000
 
-    def char_ids(self, char: str) -> list[int]:
-        """Ids of a character without a longer piece: its own or its bytes'."""
-        found = self.ids.get(char)
-        return [found] if found is not None else self.bytes_of(char)
+    def stretches(self, word: str) -> list[str]:
+        """``word`` cut between characters that no piece has side by side; no
+        merge can ever cross such a cut."""
+        joins, out, start = self.joins, [], 0
+        for i, pair in enumerate(map(str.__add__, word, word[1:]), 1):
+            if pair not in joins:
+                out.append(word[start:i])
+                start = i
+        out.append(word[start:])
+        return out
 
     def bytes_of(self, text: str) -> list[int]:
         return [self.byte_ids[b] for b in text.encode()]
@@ -68,7 +76,8 @@ def load_vocabulary(path: str = DEFAULT_MODEL) -> Vocabulary:
             surface.append(piece.replace(MARK, " ").encode())
     if any(MARK in p.lstrip(MARK) or "\n" in p for p in ids):
         raise ValueError("a piece crosses pre-tokens; this splitting does not fit the model")
-    return Vocabulary(ids, scores, byte_ids, surface)
+    joins = frozenset(p[i:i + 2] for p in ids for i in range(len(p) - 1))
+    return Vocabulary(ids, scores, byte_ids, surface, joins)
 
 
 class Memo(dict):

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import merge_dropout, near_duplicates, pii, quality_rules, sharding, token_counts, url_filter
+from . import embedding_dedup, merge_dropout, near_duplicates, pii, pu_quality, quality_rules, sharding, token_counts, url_filter
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,3 +90,15 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents")).drop("row_key")
+
+
+@register("op1_pu_quality_classifier")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every whole text of documents."""
+    return pu_quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op8_sorted_projection_passes")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate links and components of all vectors."""
+    return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))

@@ -80,8 +80,10 @@ def _cuts(x: np.ndarray) -> list[np.ndarray]:
 
 
 def _one_hot(scorer: Scorer, x: np.ndarray) -> np.ndarray:
-    out = np.zeros((len(x), len(FEATURES) * BINS), np.float32)
+    """Bins as 0/1 columns, and a column of ones for the bias."""
+    out = np.zeros((len(x), len(FEATURES) * BINS + 1), np.float32)
     np.put_along_axis(out, scorer.columns(x), 1.0, axis=1)
+    out[:, -1] = 1
     return out
 
 
@@ -90,16 +92,22 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
 
 
 def _descend(p: np.ndarray, u: np.ndarray, gradient: Callable, steps: int, decay: float = 1e-4,
-             rate: float = 0.05) -> tuple[np.ndarray, float]:
-    """Adam over (weights, bias); ``gradient(zp, zu)`` gives d risk / d logit."""
-    w = np.zeros(p.shape[1] + 1)
+             rate: float = 0.1) -> np.ndarray:
+    """Adam over the weights (the last one is the bias), the rate falling to a
+    tenth; ``gradient(zp, zu)`` gives d risk / d logit."""
+    w = np.zeros(p.shape[1])
     m, v = np.zeros_like(w), np.zeros_like(w)
     for t in range(1, steps + 1):
-        dp, du = gradient(p @ w[:-1] + w[-1], u @ w[:-1] + w[-1])
-        g = np.append(p.T @ dp + u.T @ du + decay * w[:-1], dp.sum() + du.sum())
+        small = w.astype(np.float32)
+        dp, du = gradient((p @ small).astype(float), (u @ small).astype(float))
+        g = p.T @ dp.astype(np.float32) + u.T @ du.astype(np.float32) + decay * w
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-        w -= rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
-    return w[:-1], float(w[-1])
+        w -= rate * 0.1 ** (t / steps) * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
+    return w
+
+
+def _negative_risk(zp: np.ndarray, zu: np.ndarray, prior: float) -> float:
+    return float(np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean())
 
 
 def nn_pu_gradient(prior: float) -> Callable:
@@ -108,7 +116,7 @@ def nn_pu_gradient(prior: float) -> Callable:
     gradient instead, so that the fit cannot run below 0."""
     def gradient(zp: np.ndarray, zu: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         sp, su = _sigmoid(zp), _sigmoid(zu)
-        negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
+        negative = _negative_risk(zp, zu, prior)
         to_negative_p, to_negative_u = -prior * sp / len(zp), su / len(zu)
         if negative < 0:
             return -to_negative_p, -to_negative_u
@@ -132,19 +140,19 @@ def best_bin_prior(zp: np.ndarray, zu: np.ndarray, delta: float = 0.1, gamma: fl
     return float(np.clip(qu[best] / qp[best], 0.01, 0.99))
 
 
-def fit(p: np.ndarray, u: np.ndarray, steps: int = 400) -> Scorer:
+def fit(p: np.ndarray, u: np.ndarray, steps: int = 800) -> Scorer:
     """Scorer from features of positives and of unlabelled rows.  Without rows
     of either kind every text scores 0.5."""
     if not len(p) or not len(u):
         return Scorer([np.zeros(0)] * len(FEATURES), np.zeros(len(FEATURES) * BINS), 0.0)
     scorer = Scorer(_cuts(np.concatenate([p, u])), np.zeros(0), 0.0)
     hp, hu = _one_hot(scorer, p), _one_hot(scorer, u)
+    scorer.prior = 0.5
     if len(p) > 20 and len(u) > 20:
-        w, b = _descend(hp[::2], hu[::2], _against_gradient, steps)
-        scorer.prior = best_bin_prior(hp[1::2] @ w + b, hu[1::2] @ w + b)
-    else:
-        scorer.prior = 0.5
-    scorer.weights, scorer.bias = _descend(hp, hu, nn_pu_gradient(scorer.prior), steps)
+        w = _descend(hp[::2], hu[::2], _against_gradient, steps // 4)
+        scorer.prior = best_bin_prior(hp[1::2] @ w, hu[1::2] @ w)
+    w = _descend(hp, hu, nn_pu_gradient(scorer.prior), steps, rate=0.5)
+    scorer.weights, scorer.bias = w[:-1], float(w[-1])
     return scorer
 
 

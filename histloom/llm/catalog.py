@@ -7,7 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embedding_dedup, merge_dropout, near_duplicates, pii, pu_quality, quality_rules, sharding, token_counts, url_filter
+from . import (embedding_dedup, merge_dropout, mixing, near_duplicates, pii, pu_quality, quality_rules, sharding,
+               token_counts, url_filter)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,3 +103,10 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate links and components of all vectors."""
     return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@register("op4_soft_membership_mixing")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Domain posteriors and rates of all documents for the production mix."""
+    return mixing.mix_documents(table(spark, sf_dir, "documents"),
+                                mixing.quality_domains(table(spark, sf_dir, "labels")))

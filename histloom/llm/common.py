@@ -37,5 +37,7 @@ def map_texts(df: DataFrame, columns: list[str], schema: str,
     return df.select(*columns).mapInArrow(run, schema)
 
 
-def text_or_empty(name: str = "text") -> Column:
-    return F.coalesce(F.col(name).cast("string"), F.lit(""))
+def packed(df: DataFrame) -> Column:
+    """All columns of ``df`` in one struct named _row, so that helper columns
+    beside it cannot clash with any of them; ``select("_row.*")`` unpacks it."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row")

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from ..sources.io import cut_lineage
 from . import sketch
-from .common import map_texts
+from .common import map_texts, packed
 from .components import connected_components
 
 BANDS, ROWS = 24, 5
@@ -208,6 +208,5 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are kept, with their own columns."""
     gone = near_duplicates(docs).where("NOT kept").select("row_key").distinct()
-    keyed = docs.withColumn("_row_key", F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
-    return (keyed.join(gone.withColumnRenamed("row_key", "_gone"), F.col("_row_key") == F.col("_gone"), "left_anti")
-            .select(*docs.columns))
+    keyed = docs.select(packed(docs), F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")).alias("key"))
+    return keyed.join(gone, F.col("key") == F.col("row_key"), "left_anti").select("_row.*")

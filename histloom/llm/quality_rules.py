@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources.io import cut_lineage
-from .common import scalar
+from .common import packed, scalar
 
 #: Symbols counted by the contract.
 SYMBOLS = "#*$%&|<>"
@@ -219,5 +219,6 @@ def keep_documents(docs: DataFrame, labels: DataFrame, stratum: str = "lang", **
     """The rows of ``docs`` whose verdict is kept, with their own columns.
     Texts are read twice (fit, then filter) but never shuffled or stored."""
     fitted = fit_cutoffs(cut_lineage(with_measures(docs, ["doc_id", stratum])), labels, stratum, **risk)
-    judged = with_verdict(with_measures(docs, docs.columns), fitted, stratum)
-    return judged.where("_q_kept").select(*docs.columns)
+    rows = docs.select(packed(docs), F.col(stratum).alias("_q_group"), "text")
+    judged = with_verdict(with_measures(rows, ["_row", "_q_group"]), fitted, "_q_group")
+    return judged.where("_q_kept").select("_row.*")

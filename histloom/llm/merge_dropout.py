@@ -3,16 +3,18 @@
 Merges are taken from an agenda (best score first, leftmost of equals).  Each
 candidate that comes up is skipped with probability ``dropout``, decided by a
 hash keyed with the seed, the document's variant, the stretch of text and the
-place of the merge: the same inputs give the same ids on any executor and retry, another
+candidate's number on the agenda: the same inputs give the same ids on any executor and retry, another
 seed or variant other ids.  Any segmentation decodes to the same text."""
 
 from __future__ import annotations
 
 import math
+import struct
 import zlib
 from array import array
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from heapq import heapify, heappop, heappush
+from itertools import count, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -23,20 +25,23 @@ from pyspark.sql import functions as F
 from .common import map_texts
 from .pieces import DEFAULT_MODEL, MARK, Memo, Vocabulary, load_vocabulary, pre_tokens
 
-_U64 = (1 << 64) - 1
-#: Odd factors of the coin's multiplicative hash (golden-ratio family).
-_F1, _F2, _F3 = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93
 #: Stretches up to this length keep their agenda in a list, longer ones in a heap.
 SHORT = 24
+_COINS = struct.Struct("<8H")
 
 
-def skips(key: int, left: int, middle: int, right: int, bar: int) -> bool:
-    """The coin of the candidate merging [left, middle) with [middle, right)."""
-    x = (key + left * _F1 + middle * _F2 + right * _F3) * _F1 & _U64
-    return ((x ^ (x >> 32)) * _F2 >> 40) & 0xFFFFFF < bar
+def coins(stretch: str, salt: int, dropout: float) -> Iterator[bool]:
+    """Whether to skip the first, second, ... candidate that comes up: 16-bit
+    pieces of hashes keyed with ``salt``."""
+    if dropout <= 0:
+        yield from repeat(False)
+    data, bar = stretch.encode(), round(dropout * 65536)
+    for block in count():
+        for x in _COINS.unpack(xxhash.xxh3_128_digest(data, salt + block)):
+            yield x < bar
 
 
-def _from_list(word: str, scores: dict[str, float], key: int, bar: int) -> list[str]:
+def _from_list(word: str, scores: dict[str, float], skip: Iterator[bool]) -> list[str]:
     """Pieces of a short stretch.  ``agenda[i]`` is the score of merging the
     symbols i and i + 1, or minus infinity (no piece, or skipped); the best is
     taken first, of equals the leftmost."""
@@ -48,12 +53,9 @@ def _from_list(word: str, scores: dict[str, float], key: int, bar: int) -> list[
         if best == never:
             break
         i = agenda.index(best)
-        if bar:
-            left = len("".join(symbols[:i])) if i else 0
-            middle = left + len(symbols[i])
-            if skips(key, left, middle, middle + len(symbols[i + 1]), bar):
-                agenda[i] = never
-                continue
+        if next(skip):
+            agenda[i] = never
+            continue
         merged = symbols[i] + symbols[i + 1]
         symbols[i:i + 2] = (merged,)
         del agenda[i]
@@ -64,7 +66,7 @@ def _from_list(word: str, scores: dict[str, float], key: int, bar: int) -> list[
     return symbols
 
 
-def _from_heap(word: str, scores: dict[str, float], key: int, bar: int) -> list[str]:
+def _from_heap(word: str, scores: dict[str, float], skip: Iterator[bool]) -> list[str]:
     """Pieces of a stretch of any length, with the agenda in a heap."""
     n = len(word)
     end = list(range(1, n + 1))                # end[i]: where the symbol at i ends; 0 if merged away
@@ -79,7 +81,7 @@ def _from_heap(word: str, scores: dict[str, float], key: int, bar: int) -> list[
         _, left, middle, right = heappop(agenda)
         if end[left] != middle or end[middle] != right:
             continue                           # one side has been merged since
-        if bar and skips(key, left, middle, right, bar):
+        if next(skip):
             continue
         end[left], end[middle] = right, 0
         if right < n:
@@ -99,10 +101,10 @@ def _from_heap(word: str, scores: dict[str, float], key: int, bar: int) -> list[
     return out
 
 
-def segment(word: str, vocab: Vocabulary, key: int = 0, bar: int = 0) -> list[int]:
-    """Ids of a stretch of a pre-token, spaces written as the mark.  ``bar`` is
-    the dropout probability times 2**24."""
-    pieces = (_from_list if len(word) <= SHORT else _from_heap)(word, vocab.scores, key, bar)
+def segment(stretch: str, vocab: Vocabulary, salt: int = 0, dropout: float = 0.0) -> list[int]:
+    """Ids of a stretch of a pre-token, spaces written as the mark."""
+    take = _from_list if len(stretch) <= SHORT else _from_heap
+    pieces = take(stretch, vocab.scores, coins(stretch, salt, dropout))
     out = []
     for p in pieces:
         found = vocab.ids.get(p)
@@ -115,12 +117,10 @@ def segment(word: str, vocab: Vocabulary, key: int = 0, bar: int = 0) -> list[in
 
 def encoder(vocab: Vocabulary, seed: int, variant: int, dropout: float, memo_size: int) -> Callable[[str], bytes]:
     """Text to its ids as int32 bytes."""
-    bar = round(dropout * (1 << 24))
-    salt = (seed * 1_000_003 + variant) & _U64
-    digest = xxhash.xxh64_intdigest
+    salt = (seed * 1_000_003 + variant) * 1_000_003 % (1 << 62)
 
     def part(stretch: str) -> bytes:
-        return array("i", segment(stretch, vocab, digest(stretch.encode(), salt), bar)).tobytes()
+        return array("i", segment(stretch, vocab, salt, dropout)).tobytes()
     parts = Memo(part, memo_size)
 
     def compute(word: str) -> bytes:
@@ -133,6 +133,20 @@ def encoder(vocab: Vocabulary, seed: int, variant: int, dropout: float, memo_siz
     return lambda text: b"".join(map(get, pre_tokens(text)))
 
 
+_KEPT: dict[tuple, list[Callable[[str], bytes]]] = {}
+
+
+def encoders(model: str, vocab: Vocabulary, seed: int, dropout: float, variants: int,
+             memo_size: int) -> list[Callable[[str], bytes]]:
+    """One encoder per variant.  A worker process keeps the last ones, so that
+    its next task finds the memo of words filled; this never changes a result."""
+    settings = (model, len(vocab.ids), seed, dropout, variants, memo_size)
+    if settings not in _KEPT:
+        _KEPT.clear()
+        _KEPT[settings] = [encoder(vocab, seed, v, dropout, memo_size // variants) for v in range(variants)]
+    return _KEPT[settings]
+
+
 def decode_ids(ids, vocab: Vocabulary) -> str:
     """The text of a list of ids (control ids vanish)."""
     raw = b"".join(map(vocab.surface.__getitem__, ids))
@@ -144,7 +158,7 @@ def variant_of(doc_id: int | None, variants: int) -> int:
 
 
 def encode_documents(docs: DataFrame, model: str = DEFAULT_MODEL, seed: int = 1, dropout: float = 0.1,
-                     variants: int = 2, memo_size: int = 200_000) -> DataFrame:
+                     variants: int = 2, memo_size: int = 300_000) -> DataFrame:
     """Ids of every whole text: doc_id, variant, n_tokens, ids (array<int>) and
     lossless (whether decoding the ids gave back the text).
 
@@ -156,7 +170,7 @@ def encode_documents(docs: DataFrame, model: str = DEFAULT_MODEL, seed: int = 1,
     vocab = load_vocabulary(model)
 
     def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
-        encode = [encoder(vocab, seed, v, dropout, memo_size // variants) for v in range(variants)]
+        encode = encoders(model, vocab, seed, dropout, variants, memo_size)
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             doc_ids = batch.column(0).to_pylist()

@@ -44,7 +44,11 @@ def codes(vectors: np.ndarray, passes: int, seed: int) -> np.ndarray:
 
 
 def _unit(rows: pd.Series) -> np.ndarray:
-    x = np.vstack(rows.to_numpy()).astype(np.float64)
+    """The vectors in double precision, each scaled to a largest component of 1;
+    shorter ones (which are never compared with longer ones) end in zeros."""
+    sizes = rows.map(len).to_numpy()
+    x = np.zeros((len(rows), sizes.max(initial=1)))
+    x[np.arange(x.shape[1]) < sizes[:, None]] = np.concatenate([np.zeros(0), *rows.to_numpy()])
     return x / np.abs(x).max(axis=1, keepdims=True)
 
 

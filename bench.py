@@ -18,7 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from histloom import catalog  # noqa: E402
 from histloom.sources.fixtures import load_sources, use_sources  # noqa: E402
-from histloom.sources.io import scratch_path, session  # noqa: E402
+from histloom.sources.io import release_cuts, scratch_path, session  # noqa: E402
 
 HEADLINE = [
     "load_account", "load_party_xref_all", "load_address_all", "load_agreement_all",
@@ -43,6 +43,7 @@ def main() -> None:
         t0 = time.time()
         catalog.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.time() - t0, 3)
+        release_cuts(spark)
 
     loads = {k: v for k, v in times.items() if k != "sources"}
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")

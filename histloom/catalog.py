@@ -9,10 +9,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .plans import account, address, agreement, contact, party, party_agreement, xref
 from .plans.spec import checked_output, run_groups, run_loads
-from .sources.fixtures import load_sources
+from .sources.fixtures import Sources, load_sources
+from .sources.io import cut_lineage
+
+#: The processing date of the registered queries (a run without one uses today's).
+AS_OF = "2001-01-01"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -28,7 +33,7 @@ def _loads(name, specs, independent=False):
     @register(name)
     def q(spark, sf_dir):
         src = load_sources(spark, sf_dir)
-        return checked_output(run_loads(specs, src, independent=independent))
+        return checked_output(run_loads(specs, src, as_of=AS_OF, independent=independent))
     q.__name__ = f"q_{name}"
     q.__doc__ = f"History load ``{name}`` over the stand-in sources of ``sf_dir``."
     return q
@@ -49,12 +54,43 @@ _loads("load_party_phone_all", [contact.LOAD_PARTY_PHONE])
 _loads("load_party_agreement_all", party_agreement.PARTY_AGREEMENT_LOADS, independent=True)
 
 
+def _incremental(name, specs, change, independent=False):
+    """Three batches: base, changed sources, the same sources again.  Batch 2
+    updates what changed; batch 3 must not update anything."""
+    @register(name)
+    def q(spark, sf_dir):
+        src = load_sources(spark, sf_dir)
+        changed = Sources({**src.frames, **change(src)})
+        history, out = None, None
+        for number, batch in enumerate((src, changed, changed), 1):
+            new = cut_lineage(run_loads(specs, batch, history, AS_OF, F.lit(f"2001-01-0{number} 06:00:00"),
+                                        independent=independent))
+            history = new if history is None else history.unionByName(new)
+            rows = checked_output(new).withColumn("batch_no", F.lit(number))
+            out = rows if out is None else out.unionByName(rows)
+        return out
+    q.__name__ = f"q_{name}"
+    return q
+
+
+_incremental("load_party_incremental", [party.LOAD_PARTY], lambda src: {"src_sponsor": src.sponsor.withColumn(
+    "spnsr_cmpny_nm", F.when(F.col("spnsr_cmpny_key") % 3 == 0, F.concat("spnsr_cmpny_nm", F.lit("II")))
+    .otherwise(F.col("spnsr_cmpny_nm")))})
+_incremental("load_agreement_incremental", [agreement.LOAD_CUSTOMER_AGREEMENT],
+             lambda src: {"src_agreement_hist": src.agreement_hist.withColumn(
+                 "hldg_stus", F.concat("hldg_stus", F.lit("2")))})
+_incremental("load_address_incremental", address.ADDRESS_LOADS, lambda src: {
+    "src_participant": src.participant.withColumn("addrss_ln_2", F.concat("addrss_ln_2", F.lit(" II")))})
+_incremental("load_account_incremental", [account.LOAD_ACCOUNT], lambda src: {
+    "src_employee": src.employee.withColumn("hire_dt", F.date_add("hire_dt", 1))})
+
+
 @register("load_party_xref_all")
 def q_load_party_xref_all(spark, sf_dir):
     """The eight cross-reference loads: folded within an id type, id types
     side by side (they never share a key)."""
     src = load_sources(spark, sf_dir)
-    return checked_output(run_groups(xref.XREF_GROUPS, src))
+    return checked_output(run_groups(xref.XREF_GROUPS, src, as_of=AS_OF))
 
 
 from . import catalog_ops  # noqa: E402,F401  (registers the operator-level queries)

@@ -275,6 +275,11 @@ def _history_case(spark, sf):
     return spec, src, history, rows
 
 
+def _full_batch(spark, sf):
+    spec = agreement.LOAD_CUSTOMER_AGREEMENT
+    return spec, prepared(spec, load_sources(spark, sf), AS_OF)
+
+
 def _classified(spark, sf):
     spec, src, history, rows = _history_case(spark, sf)
     return spec, classify_changes(rows, history, spec.keys)
@@ -282,7 +287,7 @@ def _classified(spark, sf):
 
 @register("current_row_flag")
 def q_current_row_flag(spark, sf):
-    spec, _, _, rows = _history_case(spark, sf)
+    spec, rows = _full_batch(spark, sf)
     return checked_output(mark_current(rows, spec.keys))
 
 
@@ -322,7 +327,7 @@ def q_anti_join_changed(spark, sf):
 def q_effective_target(spark, sf):
     spec, src, history, rows = _history_case(spark, sf)
     new = run_load(spec, src, history, AS_OF)
-    return effective_target(history, new, spec.keys)
+    return checked_output(effective_target(history, new, spec.keys))
 
 
 @register("union_distinct_targets")

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.validity import date_lit, is_open, to_dtm
+from ..functions.validity import OPEN_END, date_lit, is_open, to_dtm
 
 # The control columns every history row carries.
 CONTROL_COLUMNS = (
@@ -28,8 +28,13 @@ CONTROL_COLUMNS = (
 # then the larger checksum; remaining columns break any tie left.
 VERSION_ORDER = ("end_dtm", "end_dt", "begin_dtm", "begin_dt", "check_sum")
 
+# "Latest" among stored versions of a key: what was loaded last, then the order
+# above.  (An attribute change usually keeps the begin date, so dates alone do
+# not say which version is newer.)
+LOAD_ORDER = ("audit_id", "row_process_dtm")
+
 # Columns never used to rank versions.
-NOT_RANKED = ("row_process_dtm", "current_row_ind", "change_type")
+NOT_RANKED = ("row_process_dtm", "current_row_ind", "change_type")  # as tie-breakers; an order may name them
 
 INSERT, UPDATE, DUPLICATE = "I", "U", "D"
 
@@ -84,18 +89,25 @@ def classify_changes(src: DataFrame, target: DataFrame | None, keys: Sequence[st
     with another checksum, 'D' same checksum (or a NULL checksum).
 
     Only current, open target rows count.  When a key has several current rows
-    the latest one (``VERSION_ORDER``) is compared, so the source never fans
-    out.  ``target=None`` means an empty target: every row is 'I'."""
+    the one loaded last is compared (``LOAD_ORDER``, then ``VERSION_ORDER``), so
+    the source never fans out.  ``target=None`` means an empty target: every row
+    is 'I'.  A NULL key matches nothing.
+
+    The filter is plain equalities, so it reaches the target's scan.  NULL keys
+    are taken out of the target and the join is null-safe: that keeps a shuffle
+    between the aggregate and the join, so AQE can split a hot key."""
     if target is None:
         return src.withColumn("change_type", F.lit(INSERT))
-    cur = target.filter(F.coalesce(F.col("current_row_ind"), F.lit(False)) & is_open("end_dt"))
+    cur = target.filter(F.col("current_row_ind") & (F.col("end_dt") == date_lit(OPEN_END)))
+    for k in keys:
+        cur = cur.filter(F.col(k).isNotNull())
     if target_filter is not None:
         cur = cur.filter(target_filter)
-    order = [c for c in VERSION_ORDER if c in cur.columns and c != checksum] + [checksum]
+    order = [c for c in (*LOAD_ORDER, *VERSION_ORDER) if c in cur.columns and c != checksum] + [checksum]
     latest = (cur.groupBy(*_renamed_keys(keys))
                  .agg(F.max(F.struct(*order)).getField(checksum).alias("_tgt_sum"))
                  .withColumn("_tgt_hit", F.lit(True)))
-    j = _key_join(src, latest, keys, "left", null_safe=False)
+    j = _key_join(src, latest, keys, "left", null_safe=True)
     change = (F.when(F.col("_tgt_hit").isNull(), F.lit(INSERT))
                .when(F.col("_tgt_sum") != F.col(checksum), F.lit(UPDATE))
                .otherwise(F.lit(DUPLICATE)))
@@ -115,14 +127,22 @@ def mark_current(df: DataFrame, keys: Sequence[str], order: Sequence[str] = VERS
 
     NULL keys form one group, as in SQL PARTITION BY.
 
-    (Splitting off single-version keys with a per-key count first was
-    measured slower overall: the extra join costs more than it saves.)"""
+    9999-12-31 sorts first, so a closed version never is the latest of a key
+    that has an open one: only open rows are ranked, and the flag of the others
+    is false.  The big side of the join carries its own columns alone; the rank
+    is built after it."""
     cols = _rank_columns(df, keys, order)
-    ranked = df.withColumn("_rank", F.struct(*cols))
-    best = ranked.groupBy(*_renamed_keys(keys)).agg(F.max("_rank").alias("_best"))
-    j = _key_join(ranked, best, keys, "left", null_safe=True)
-    flag = F.coalesce(F.col("_rank").eqNullSafe(F.col("_best")) & is_open(end_col), F.lit(False))
-    return j.withColumn(out, flag).drop("_rank", "_best")
+    best = (df.filter(F.col(end_col) == date_lit(OPEN_END))
+            .groupBy(*_renamed_keys(keys)).agg(F.max(F.struct(*cols)).alias("_best")))
+    j = _key_join(df, best, keys, "left", null_safe=True)
+    flag = F.coalesce(is_open(end_col) & F.struct(*cols).eqNullSafe(F.col("_best")), F.lit(False))
+    return j.withColumn(out, flag).drop("_best")
+
+
+def reflag_current(df: DataFrame, keys: Sequence[str], out: str = "current_row_ind") -> DataFrame:
+    """The flag over stored and new versions together: of each key only the
+    version loaded last stays current, if it is open."""
+    return mark_current(df.drop(out), keys, (*LOAD_ORDER, *VERSION_ORDER), out).select(*df.columns)
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -142,7 +162,9 @@ def restart_begin_on_update(df: DataFrame, as_of: str | _dt.date) -> DataFrame:
               .withColumn("begin_dtm", F.when(upd, to_dtm(d)).otherwise(F.col("begin_dtm"))))
 
 
-TARGET_VIEW = ("end_dt", "current_row_ind", "check_sum", "source_system_id")
+#: What a comparison target keeps beside the keys: enough to rank versions.
+TARGET_VIEW = ("end_dt", "end_dtm", "begin_dt", "begin_dtm", "current_row_ind", "check_sum",
+               "source_system_id", "audit_id", "row_process_dtm")
 
 
 def effective_target(dimension: DataFrame | None, work: DataFrame | None,
@@ -150,13 +172,16 @@ def effective_target(dimension: DataFrame | None, work: DataFrame | None,
     """Comparison target for a load that also checks the conformed dimension:
     dimension rows not superseded by a current open work row of the same key
     with another checksum, UNION (distinct) the work rows."""
-    cols = [*keys, *TARGET_VIEW]
+    given = dimension if dimension is not None else work
+    if given is None:
+        return None
+    cols = [*keys, *[c for c in TARGET_VIEW if c in given.columns]]
     if dimension is None:
-        return work.select(*cols).distinct() if work is not None else None
+        return work.select(*cols).distinct()
     dim = dimension.select(*cols)
     if work is None:
         return dim.distinct()
-    cur = (work.filter(F.coalesce(F.col("current_row_ind"), F.lit(False)) & is_open("end_dt"))
+    cur = (work.filter(F.col("current_row_ind") & (F.col("end_dt") == date_lit(OPEN_END)))
                .select(*_renamed_keys(keys), F.col(checksum).alias("_wrk_sum")))
     cond = [dim[k] == cur[f"_k{i}"] for i, k in enumerate(keys)]
     cond.append(dim[checksum] != cur["_wrk_sum"])

@@ -1,9 +1,7 @@
-"""Lookups: party cross-reference, code translation, small-side broadcast.
+"""Lookups: party cross-reference, code translation, product translation.
 
-Translation and product tables are code lists.  They are broadcast only after
-their filtered size is checked (``broadcast_if_small``); above the limit the
-join stays a shuffle join and AQE may still convert it from runtime sizes.
-The cross-reference grows with the parties and is never broadcast blindly.
+No join here carries a hint: Spark picks the plan from sizes, and AQE turns a
+join with a small side into a broadcast from the bytes seen at run time.
 """
 
 from __future__ import annotations
@@ -15,26 +13,6 @@ from pyspark.sql import functions as F
 
 from ..functions.text import ColumnLike, clean_string, col_, normalise
 
-# Upper bound (rows) for broadcasting a lookup side.
-BROADCAST_MAX_ROWS = 250_000
-
-
-_size_checked: dict[tuple[int, int, int], bool] = {}
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df``.
-    The check reads at most ``max_rows + 1`` rows of the (filtered) lookup;
-    its answer is remembered per session and lookup plan."""
-    spark = df.sparkSession
-    key = (id(spark), df.semanticHash(), max_rows)
-    small = _size_checked.get(key)
-    if small is None:
-        small = df.limit(max_rows + 1).count() <= max_rows
-        _size_checked[key] = small
-    return F.broadcast(df) if small else df
-
-
 def xref_subset(xref: DataFrame, id_type: str) -> DataFrame:
     """Live (not logically deleted) ``(party_id, sor_party_id)`` pairs of one
     id type, de-duplicated."""
@@ -77,6 +55,15 @@ def translation_subset(translations: DataFrame, filters: Mapping[str, str],
     return translations.filter(cond).select("src_fld_val", "trnslt_fld_val")
 
 
+def duplicate_translations(translations: DataFrame, filters: Mapping[str, str], match: str = "upper_trim",
+                           exact: Sequence[str] = ()) -> DataFrame:
+    """(key, n) of source values that have more than one translation; empty if
+    ``translate_code`` with the same arguments multiplies no row."""
+    t = translation_subset(translations, filters, exact)
+    return (t.select(_match_expr("src_fld_val", match).alias("key")).where("key IS NOT NULL")
+            .groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+
+
 def translate_code(df: DataFrame, value: ColumnLike, translations: DataFrame,
                    filters: Mapping[str, str], out: str, match: str = "upper_trim",
                    exact: Sequence[str] = ()) -> DataFrame:
@@ -88,7 +75,6 @@ def translate_code(df: DataFrame, value: ColumnLike, translations: DataFrame,
     t = translation_subset(translations, filters, exact)
     t = t.select(_match_expr("src_fld_val", match).alias("_tr_key"),
                  F.col("trnslt_fld_val").alias(out))
-    t = broadcast_if_small(t)
     left = df.withColumn("_tr_key", _match_expr(value, match))
     return left.join(t, "_tr_key", "left").drop("_tr_key")
 
@@ -99,6 +85,5 @@ def product_lookup(df: DataFrame, plan_type: ColumnLike, products: DataFrame, ou
     code = F.upper(F.trim("knd_min_cde")) if trim_code else F.upper("knd_min_cde")
     p = (products.filter(normalise("admn_sys_cde") == "TRAC")
                  .select(code.alias("_prod_key"), F.col("prod_id").alias(out)).distinct())
-    p = broadcast_if_small(p)
     key = F.upper(F.trim(col_(plan_type))) if trim_code else F.upper(col_(plan_type))
     return df.withColumn("_prod_key", key).join(p, "_prod_key", "left").drop("_prod_key")

@@ -48,8 +48,8 @@ def _trac_party_address(table, xref_type, sor_fn):
             hash_key(F.lit(STANDARD_ADDRESS)).alias("ref_address_type_natural_key_hash_uuid"),
             hash_key(F.lit(TRAC_SOURCE)).alias("ref_party_contact_source_natural_key_hash_uuid"),
             hash_key("party_id").alias("dim_party_natural_key_hash_uuid"),
-            # the digest of a NULL: no attribute is tracked on this bridge
-            F.md5(F.lit(None).cast("string")).alias("check_sum"),
+            # no attribute is tracked on this bridge: the digest of one blank
+            row_checksum(blank()).alias("check_sum"),
             *[v.alias(k) for k, v in b.items()],
         )
     return derive

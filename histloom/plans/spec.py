@@ -29,7 +29,15 @@ from ..sources.fixtures import Sources
 from ..sources.io import cut_lineage
 from . import targets as T
 
-DEFAULT_AS_OF = _dt.date(2001, 1, 1)
+
+def _today(as_of) -> _dt.date | str:
+    return _dt.date.today() if as_of is None else as_of
+
+
+def _pinned(process_ts: Column | None) -> Column:
+    """The process time as one literal: every row of a run has the same, however
+    often its plan is evaluated."""
+    return process_ts if process_ts is not None else F.lit(_dt.datetime.now().isoformat(sep=" "))
 
 
 @dataclass(frozen=True)
@@ -70,20 +78,21 @@ def finish(spec: LoadSpec, rows: DataFrame, target: DataFrame | None, as_of,
     c = mark_current(c, spec.keys)
     if spec.restart_begin_on_update:
         c = restart_begin_on_update(c, as_of)
-    ts = process_ts if process_ts is not None else F.localtimestamp()
-    c = c.withColumn("row_process_dtm", ts.cast("timestamp_ntz"))
+    c = c.withColumn("row_process_dtm", _pinned(process_ts).cast("timestamp_ntz"))
     return T.conform(c, target_columns(spec.layout))
 
 
 def run_load(spec: LoadSpec, src: Sources, target: DataFrame | None = None,
-             as_of=DEFAULT_AS_OF, process_ts: Column | None = None,
+             as_of=None, process_ts: Column | None = None,
              materialize: bool = True) -> DataFrame:
-    """One INSERT...SELECT of the template: the new I/U rows for ``target``."""
+    """One INSERT...SELECT of the template: the new I/U rows for ``target``.
+    ``as_of`` is the current date by default."""
+    as_of = _today(as_of)
     return finish(spec, prepared(spec, src, as_of), target, as_of, process_ts, materialize)
 
 
 def run_loads(specs: Sequence[LoadSpec], src: Sources, history: DataFrame | None = None,
-              as_of=DEFAULT_AS_OF, process_ts: Column | None = None,
+              as_of=None, process_ts: Column | None = None,
               independent: bool = False, materialize: bool = True) -> DataFrame:
     """Several specs into one work table.
 
@@ -96,6 +105,7 @@ def run_loads(specs: Sequence[LoadSpec], src: Sources, history: DataFrame | None
     ``independent=True`` when the specs' keys cannot overlap (a type or role
     code is part of the key): all derived rows go through one classify and
     one current-flag pass -- one set of shuffles instead of one per spec."""
+    as_of, process_ts = _today(as_of), _pinned(process_ts)
     if independent:
         lead = specs[0]
         rows = prepared(lead, src, as_of)

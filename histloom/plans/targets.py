@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, _parse_datatype_string
 
+# The targets' INSERT column lists.
 S, D, B, I = "string", "date", "boolean", "int"
 AMT, RT, TS = "decimal(18,2)", "decimal(9,4)", "timestamp_ntz"
 

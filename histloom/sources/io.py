@@ -40,7 +40,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if conf:
         sc.setCheckpointDir(conf)
-    elif sc.master.startswith("local"):
+    elif sc.master == "local" or sc.master.startswith("local["):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="histloom-ckpt-"))
     else:
         raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS/S3)")
@@ -56,10 +56,32 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     more to write the checkpoint files.)"""
     spark = df.sparkSession
     path = scratch_path(spark, f"cut-{uuid.uuid4().hex}")
+    _cuts.append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
+_cuts: list[str] = []
+
+
+def release_cuts(spark: SparkSession) -> int:
+    """Delete the stored copies of this process's lineage cuts; returns how many.
+    Call it once a run's results are written: frames that read a cut end with it."""
+    jvm = spark.sparkContext._jvm
+    n = 0
+    while _cuts:
+        path = jvm.org.apache.hadoop.fs.Path(_cuts.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        n += 1
+    return n
+
+
+def refresh_statistics(spark: SparkSession, table: str, columns: list[str] | None = None) -> None:
+    """Statistics of a catalog table, and of ``columns`` if given."""
+    of = f" FOR COLUMNS {', '.join(f'`{c}`' for c in columns)}" if columns else ""
+    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS{of}")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A folder for intermediate tables under the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")

@@ -10,7 +10,8 @@ ORACLES = {
         "load_agreement_plan", "load_agreement_participant", "load_agreement_all",
         "load_customer_agreement", "load_customer_party_address", "load_party_address_all",
         "load_party_email", "load_party_phone_all", "load_party_agreement_all",
-        "load_party_xref_all",
+        "load_party_xref_all", "load_party_incremental", "load_agreement_incremental",
+        "load_address_incremental", "load_account_incremental",
     )
 }
 ORACLES.update(ops.OPS)

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from histloom.plans import targets as T
+from . import layouts as T
 
-from .sqlgen import (NULL_S, SqlSpec, bounds, cs, hk, itxt, load_query, norm, ph, q, tobool,
+from .sqlgen import (NULL_S, SqlSpec, bounds, cs, hk, incremental_query, itxt, load_query, norm, ph, q, tobool,
                      yn_bool)
 
 N = NULL_S
@@ -156,7 +156,7 @@ def party_address_specs() -> list[SqlSpec]:
              "ref_address_type_natural_key_hash_uuid": hk(q("STDA")),
              "ref_party_contact_source_natural_key_hash_uuid": hk(q("TRAC")),
              "dim_party_natural_key_hash_uuid": hk("x.party_id"),
-             "check_sum": "md5(CAST(NULL AS VARCHAR))",
+             "check_sum": hk(N),
              **bounds("t.rcrd_effctv_dt", "t.rcrd_trm_dt", None, None)},
             fixtures=[table, "src_xref", "src_translation"]))
     return out
@@ -523,3 +523,26 @@ def load_party_agreement_all() -> str:
 
 def load_account() -> str:
     return load_query(account_specs())
+
+
+# -- three batches -----------------------------------------------------------------
+
+def load_party_incremental() -> str:
+    return incremental_query(party_specs(), {
+        "src_sponsor": "SELECT * REPLACE (CASE WHEN spnsr_cmpny_key % 3 = 0 THEN concat(spnsr_cmpny_nm, 'II') "
+                       "ELSE spnsr_cmpny_nm END AS spnsr_cmpny_nm) FROM src_sponsor"})
+
+
+def load_agreement_incremental() -> str:
+    return incremental_query(customer_agreement_specs(), {
+        "src_agreement_hist": "SELECT * REPLACE (concat(hldg_stus, '2') AS hldg_stus) FROM src_agreement_hist"})
+
+
+def load_address_incremental() -> str:
+    return incremental_query(address_specs(), {
+        "src_participant": "SELECT * REPLACE (concat(addrss_ln_2, ' II') AS addrss_ln_2) FROM src_participant"})
+
+
+def load_account_incremental() -> str:
+    return incremental_query(account_specs(), {
+        "src_employee": "SELECT * REPLACE (hire_dt + 1 AS hire_dt) FROM src_employee"})

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from histloom.plans import targets as T
+from . import layouts as T
 
 from . import loads as L
 from .sqlgen import (OPEN, SqlSpec, _prepared_select, bounds, checked_select, cs, hk, itxt,
@@ -208,10 +208,12 @@ def anti_join_changed():
 
 def effective_target():
     ctes, _ = _history_ctes()
-    cols = f"{KEY}, end_dt, current_row_ind, check_sum, source_system_id"
+    cols = (f"{KEY}, end_dt, CAST(end_dtm AS VARCHAR) AS end_dtm, begin_dt, CAST(begin_dtm AS VARCHAR) AS begin_dtm, "
+            "current_row_ind, check_sum, source_system_id, audit_id")
+    # the two sides differ in process time, so they never merge
     return with_fixtures(["src_audit", "src_agreement_hist"], ctes,
-                         f"SELECT DISTINCT {cols} FROM (SELECT {cols} FROM ({_kept_history()}) k "
-                         f"UNION ALL SELECT {cols} FROM H_n1) u")
+                         f"SELECT DISTINCT {cols} FROM ({_kept_history()}) k "
+                         f"UNION ALL SELECT DISTINCT {cols} FROM H_n1")
 
 
 def union_distinct_targets():

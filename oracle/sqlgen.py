@@ -8,9 +8,10 @@ library uses, so the two cross-check each other.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
-from histloom.operators.history import VERSION_ORDER
+from .layouts import CONTROL, STORED_ORDER, VERSION_ORDER
 
 OPEN = "DATE '9999-12-31'"
 NULL_S = "CAST(NULL AS VARCHAR)"
@@ -109,7 +110,6 @@ class SqlSpec:
 
 
 def control() -> list[tuple[str, str]]:
-    from histloom.plans.targets import CONTROL
     return CONTROL
 
 
@@ -123,7 +123,7 @@ def rank_cols(layout, keys) -> list[str]:
     return order + [c for c in cols if c not in keys and c not in order]
 
 
-def _prepared_select(s: SqlSpec) -> str:
+def _prepared_select(s: SqlSpec, rename=lambda sql: sql) -> str:
     exprs = dict(s.cols)
     exprs.setdefault("audit_id", audit(s.batch))
     exprs.setdefault("source_system_id", q(s.source_system_id))
@@ -134,34 +134,46 @@ def _prepared_select(s: SqlSpec) -> str:
         e = exprs.get(c, "NULL")
         sel.append(f"CAST({e} AS {duck_type(t)}) AS {c}")
     where = f"\nWHERE {s.where}" if s.where else ""
-    return f"SELECT DISTINCT {', '.join(sel)}\nFROM {s.from_sql}{where}"
+    return rename(f"SELECT DISTINCT {', '.join(sel)}\nFROM {s.from_sql}{where}")
 
 
-def load_ctes(specs: list[SqlSpec], prefix: str, independent: bool = False) -> tuple[list[str], str]:
-    """CTEs computing the work table of ``specs`` (folded in order); returns
-    (cte list, name of the final work CTE)."""
+def _not_superseded(history: str, work: str, keys: list[str]) -> str:
+    """History rows without a current open work row of the key and another checksum."""
+    same = " AND ".join(f"w.{k} = h.{k}" for k in keys)
+    return (f"SELECT h.* FROM {history} h WHERE NOT EXISTS (SELECT 1 FROM {work} w WHERE {same} "
+            f"AND coalesce(w.current_row_ind, false) AND w.end_dt = {OPEN} AND w.check_sum <> h.check_sum)")
+
+
+def load_ctes(specs: list[SqlSpec], prefix: str, independent: bool = False, history: str | None = None,
+              load_no: int = 1, rename=lambda sql: sql) -> tuple[list[str], str]:
+    """CTEs computing the work table of ``specs`` (folded in order, compared with
+    ``history`` too if given); returns (cte list, name of the final work CTE).
+    Each row carries the number of its load."""
     ctes: list[str] = []
     lead = specs[0]
     keys = list(lead.keys)
     out_cols = [c for c, _ in [*lead.layout, *control()] if c != "row_process_dtm"]
     ranked = rank_cols(lead.layout, keys)
     order_by = ", ".join(f"{c} DESC NULLS LAST" for c in ranked)
+    torder = ", ".join(f"{x} DESC NULLS LAST" for x in STORED_ORDER)
     groups = [specs] if independent else [[s] for s in specs]
     work = None
     for i, group in enumerate(groups):
         p, c, n = f"{prefix}_p{i}", f"{prefix}_c{i}", f"{prefix}_n{i}"
-        ctes.append(f"{p} AS ({' UNION ALL '.join('(' + _prepared_select(s) + ')' for s in group)})")
+        ctes.append(f"{p} AS ({' UNION ALL '.join('(' + _prepared_select(s, rename) + ')' for s in group)})")
         spec = group[0]
-        if work is None:
+        if history and work:
+            target = f"({_not_superseded(history, work, keys)} UNION ALL BY NAME SELECT * FROM {work})"
+        else:
+            target = work or history
+        if target is None:
             ctes.append(f"{c} AS (SELECT {p}.*, 'I' AS change_type FROM {p})")
         else:
             t = f"{prefix}_t{i}"
-            torder = ", ".join(f"{x} DESC NULLS LAST" for x in
-                               [o for o in VERSION_ORDER if o != "check_sum"] + ["check_sum"])
             tf = f" AND ({spec.target_filter})" if spec.target_filter else ""
             ctes.append(
                 f"{t} AS (SELECT {', '.join(keys)}, check_sum FROM (SELECT *, ROW_NUMBER() OVER "
-                f"(PARTITION BY {', '.join(keys)} ORDER BY {torder}) AS rn FROM {work} "
+                f"(PARTITION BY {', '.join(keys)} ORDER BY {torder}) AS rn FROM {target} tgt "
                 f"WHERE coalesce(current_row_ind, false) AND end_dt = {OPEN}{tf}) x WHERE rn = 1)")
             on = " AND ".join(f"{p}.{k} = {t}.{k}" for k in keys)
             ctes.append(
@@ -180,7 +192,7 @@ def load_ctes(specs: list[SqlSpec], prefix: str, independent: bool = False) -> t
                            f"ELSE {col} END AS {col}")
             else:
                 sel.append(col)
-        ctes.append(f"{n} AS (SELECT {', '.join(sel)} FROM {c} WHERE change_type IN ('I','U'))")
+        ctes.append(f"{n} AS (SELECT {', '.join(sel)}, {load_no} AS load_no FROM {c} WHERE change_type IN ('I','U'))")
         if work is None:
             work = n
         else:
@@ -190,6 +202,27 @@ def load_ctes(specs: list[SqlSpec], prefix: str, independent: bool = False) -> t
     return ctes, work
 
 
+def incremental_query(specs: list[SqlSpec], changes: dict[str, str], independent: bool = False) -> str:
+    """Three batches: base, changed sources, the same again.  ``changes`` maps a
+    source to the SQL of its changed form."""
+    fixtures = ["src_audit", *changes]
+    for s in specs:
+        fixtures += s.fixtures
+    changed = [f"{name}_changed AS ({sql})" for name, sql in changes.items()]
+
+    def rename(sql: str) -> str:
+        for name in changes:
+            sql = re.sub(rf"\b{name}\b", f"{name}_changed", sql)
+        return sql
+    c1, w1 = load_ctes(specs, "A", independent)
+    c2, w2 = load_ctes(specs, "B", independent, w1, 2, rename)
+    both = f"H2 AS (SELECT * FROM {w1} UNION ALL BY NAME SELECT * FROM {w2})"
+    c3, w3 = load_ctes(specs, "C", independent, "H2", 3, rename)
+    cols = checked_select(specs[0].layout, "x").removesuffix(" FROM x")
+    final = " UNION ALL ".join(f"{cols}, load_no AS batch_no FROM {w}" for w in (w1, w2, w3))
+    return with_fixtures(fixtures, [*changed, *c1, *c2, both, *c3], final)
+
+
 def checked_select(layout, source: str) -> str:
     """Output view matching ``checked_output``: no process time, *_dtm as text."""
     cols = []

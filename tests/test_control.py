@@ -43,7 +43,9 @@ def test_run_steps_executes_in_order(spark, src):
     res = control.run_steps(spark, src.steps, "TRAC", "DIM_PARTY", "2001-01-01")
     seqs = [int(s) for s, _ in res]
     assert seqs == sorted(seqs) and len(seqs) > 0
-    assert all(df.collect()[0].n >= 0 for _, df in res)
+    nation = {r.s_suppkey: r.s_nationkey for r in spark.table("supplier").collect()}
+    for seq, df in res:                        # each step counts the suppliers of its own one's nation
+        assert df.collect()[0].n == sum(n == nation[int(seq)] for n in nation.values())
 
 
 def test_single_step_missing_raises(spark, src):

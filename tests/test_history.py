@@ -3,7 +3,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from histloom.operators.history import (classify_changes, effective_target, keep_changes,
-                                        latest_per_key, mark_current, restart_begin_on_update)
+                                        latest_per_key, mark_current, reflag_current, restart_begin_on_update)
 
 OPEN = dt.date(9999, 12, 31)
 SCHEMA = ("k string, check_sum string, begin_dt date, begin_dtm timestamp_ntz, end_dt date, "
@@ -39,6 +39,39 @@ def test_classify_compares_latest_current_row_only(spark):
     assert len(got) == 1 and got[0].change_type == "D"
 
 
+def _stored(spark, rows):
+    """Rows of (key, checksum, begin, audit id, load time), all current and open."""
+    df = _rows(spark, [(k, cs, b, OPEN, True, "x") for k, cs, b, _, _ in rows])
+    loads = spark.createDataFrame([(k, cs, b, a, t) for k, cs, b, a, t in rows],
+                                  "k string, check_sum string, begin_dt date, audit_id int, row_process_dtm timestamp_ntz")
+    return df.join(loads, ["k", "check_sum", "begin_dt"]).withColumn("source_system_id", F.lit("203"))
+
+
+def test_classify_compares_the_version_loaded_last(spark):
+    d, t1, t2 = dt.date(2000, 1, 1), dt.datetime(2001, 1, 1), dt.datetime(2001, 1, 2)
+    # same begin date; the older load has the larger checksum
+    target = _stored(spark, [("k", "zzz", d, 1, t1), ("k", "aaa", d, 1, t2), ("j", "aaa", d, 1, t2), ("j", "zzz", d, 2, t1)])
+    src = _rows(spark, [("k", "aaa", d, OPEN, None, "y"), ("j", "zzz", d, OPEN, None, "y")]).drop("current_row_ind")
+    got = {r.k: r.change_type for r in classify_changes(src, target, ["k"]).collect()}
+    assert got == {"k": "D", "j": "D"}
+
+
+def test_effective_target_keeps_what_ranks_versions(spark):
+    d1, d2, t = dt.date(2000, 1, 1), dt.date(2005, 1, 1), dt.datetime(2001, 1, 1)
+    target = _stored(spark, [("k", "zzz", d1, 1, t), ("k", "aaa", d2, 1, t)])
+    src = _rows(spark, [("k", "aaa", d2, OPEN, None, "y")]).drop("current_row_ind")
+    direct = classify_changes(src, target, ["k"]).first().change_type
+    through = classify_changes(src, effective_target(target, None, ["k"]), ["k"]).first().change_type
+    assert direct == through == "D"
+
+
+def test_reflag_leaves_one_current_version(spark):
+    d, t1, t2 = dt.date(2000, 1, 1), dt.datetime(2001, 1, 1), dt.datetime(2001, 1, 2)
+    both = _stored(spark, [("k", "zzz", d, 1, t1), ("k", "aaa", d, 1, t2), ("j", "s", d, 1, t1)])
+    got = {(r.k, r.check_sum): r.current_row_ind for r in reflag_current(both, ["k"]).collect()}
+    assert got == {("k", "zzz"): False, ("k", "aaa"): True, ("j", "s"): True}
+
+
 def test_mark_current_one_open_latest_row_per_key(spark):
     d = dt.date(2000, 1, 1)
     df = _rows(spark, [("k", "a", d, OPEN, None, "1"), ("k", "b", dt.date(2000, 2, 1), OPEN, None, "2"),

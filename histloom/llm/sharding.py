@@ -112,5 +112,6 @@ def shard_documents(docs: DataFrame, n_shards: int = 8) -> DataFrame:
         F.lit("key").alias("law"),
         jump_hash(F.col("doc_id"), n_shards).alias("shard"),
         jump_hash(F.col("doc_id"), n_shards + 1).alias("grown_shard"))
-    return assign_slots(rows, "shard", ["doc_id", "text_crc32", "size"], "slot").select(
+    # stored first: dealing by ranges reads its input twice, and the texts are read once
+    return assign_slots(cut_lineage(rows), "shard", ["doc_id", "text_crc32", "size"], "slot").select(
         "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")

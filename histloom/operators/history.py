@@ -194,3 +194,13 @@ def union_distinct(*dfs: DataFrame) -> DataFrame:
     for d in dfs[1:]:
         out = out.unionByName(d)
     return out.distinct()
+
+
+def fan_out(df: DataFrame, variants: Sequence[tuple[Column, dict[str, Column]]]) -> DataFrame:
+    """For each row and each variant (condition, named values) whose condition
+    holds, the row with the variant's values added: one scan and one join serve
+    several kinds of result rows.  All variants name the same values."""
+    options = F.array(*[F.struct(F.coalesce(keep, F.lit(False)).alias("_keep"),
+                                 *[v.alias(k) for k, v in values.items()]) for keep, values in variants])
+    return (df.select("*", F.explode(F.filter(options, lambda o: o["_keep"])).alias("_v"))
+            .select(*df.columns, *[F.col("_v").getField(k).alias(k) for k in variants[0][1]]))

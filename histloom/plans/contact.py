@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import (blank, bounds, clean_string, hash_key, is_flag, prehash_value,
                          row_checksum)
+from ..operators.history import fan_out
 from ..operators.lookup import resolve_party, translate_code
 from . import targets as T
 from .address import address_key, with_state_country
@@ -122,11 +123,9 @@ def phone_fan_out(demographics, xref):
     res = hash_key(clean_string("restel_ctry_cd_nr"), clean_string("restel_nr_10digit"),
                    "restel_xtn_nr")
     fax = hash_key(clean_string("prefax_tel_ctry_cd_nr"), clean_string("prefax_tel_nr_10digit"))
-    df = df.select("party_id", "pdcr_hist_fr_dt", "pdcr_hist_to_dt",
-                   pref.alias("_p0"), res.alias("_p1"), fax.alias("_p2"))
-    stack = "stack(3, " + ", ".join(f"'{k}', _p{i}" for i, k in enumerate(PHONE_KINDS)) + \
-            ") as (phone_type_cde, phone_id)"
-    return df.selectExpr("party_id", "pdcr_hist_fr_dt", "pdcr_hist_to_dt", stack).distinct()
+    df = fan_out(df, [(F.lit(True), {"phone_type_cde": F.lit(k), "phone_id": number})
+                      for k, number in zip(PHONE_KINDS, (pref, res, fax))])
+    return df.select("party_id", "pdcr_hist_fr_dt", "pdcr_hist_to_dt", "phone_type_cde", "phone_id").distinct()
 
 
 def _derive_party_phone(src, as_of):

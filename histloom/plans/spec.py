@@ -105,20 +105,24 @@ def run_loads(specs: Sequence[LoadSpec], src: Sources, history: DataFrame | None
     ``independent=True`` when the specs' keys cannot overlap (a type or role
     code is part of the key): all derived rows go through one classify and
     one current-flag pass -- one set of shuffles instead of one per spec."""
+    rounds = [specs] if independent else [[s] for s in specs]
+    return run_rounds(rounds, src, history, as_of, process_ts, materialize)
+
+
+def run_rounds(rounds: Sequence[Sequence[LoadSpec]], src: Sources, history: DataFrame | None = None,
+               as_of=None, process_ts: Column | None = None, materialize: bool = True) -> DataFrame:
+    """Rounds of specs into one work table.  The specs of a round cannot share a
+    key and go through one classify and one current-flag pass; each round is
+    compared with the rows of the earlier ones."""
     as_of, process_ts = _today(as_of), _pinned(process_ts)
-    if independent:
+    work: DataFrame | None = None
+    for specs in rounds:
         lead = specs[0]
         rows = prepared(lead, src, as_of)
         for s in specs[1:]:
             rows = rows.unionByName(prepared(s, src, as_of))
-        target = effective_target(history, None, lead.keys) if history is not None else None
-        return finish(lead, rows, target, as_of, process_ts, materialize)
-
-    work: DataFrame | None = None
-    for i, spec in enumerate(specs):
-        target = work if history is None else effective_target(history, work, spec.keys)
-        # with materialize, the flagged rows already read from a stored copy
-        new = run_load(spec, src, target, as_of, process_ts, materialize)
+        target = work if history is None else effective_target(history, work, lead.keys)
+        new = finish(lead, rows, target, as_of, process_ts, materialize)
         work = new if work is None else work.unionByName(new)
     return work
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import (blank, bounds, clean_string, hash_key, join_text, prehash_value,
                          row_checksum)
+from ..operators.history import fan_out
 from ..operators.lookup import resolve_party
 from . import targets as T
 from .party import sponsor_party_id
@@ -56,7 +57,7 @@ def _xref_rows(df, sor_party_id, id_type):
         hash_key("party_id").alias("dim_party_natural_key_hash_uuid"),
         F.col("party_id"),
         sor_party_id.alias("sor_party_id"),
-        F.lit(id_type).alias("party_id_type_cde"),
+        id_type.alias("party_id_type_cde"),
         row_checksum(blank()).alias("check_sum"),
         *[v.alias(k) for k, v in bounds("rcrd_effctv_dt", "rcrd_trm_dt", None, None).items()],
     )
@@ -68,7 +69,7 @@ def _person_loader(table, xref_type, sor_fn, out_type, sor_value, required):
         for c in required:
             df = df.filter(clean_string(c).isNotNull())
         df = resolve_party(df, src.xref, xref_type, sor_fn())
-        return _xref_rows(df, sor_value(), out_type)
+        return _xref_rows(df, sor_value(), F.lit(out_type))
     return derive
 
 
@@ -132,3 +133,29 @@ XREF_LOADS = [
 # Loads that write the same id type interact (a later one is compared with
 # the rows of an earlier one); different id types never share a key.
 XREF_GROUPS = [XREF_LOADS[0:3], XREF_LOADS[3:6], XREF_LOADS[6:7], XREF_LOADS[7:8]]
+
+
+# -- the same loads in three rounds: each source is joined to the cross-reference
+#    once and emits the customer id and the tax id side by side.
+
+def _person_ids(table, xref_type, sor_fn, tax_col):
+    def derive(src, as_of):
+        df = resolve_party(getattr(src, table).filter(active() & real_icu()), src.xref, xref_type, sor_fn())
+        tax = clean_string(tax_col)
+        both = clean_string("cstmr_id_1").isNotNull() & clean_string("cstmr_id_2").isNotNull()
+        df = fan_out(df, [(both, {"_id": _customer_sor(), "_type": F.lit(CUSTOMER_ID)}),
+                          (tax.isNotNull(), {"_id": tax, "_type": F.lit(TAX_ID_PERSON)})])
+        return _xref_rows(df, F.col("_id"), F.col("_type"))
+    return derive
+
+
+def _round(name, derive):
+    return LoadSpec(name, T.XREF, XREF_KEY, derive, target_filter=_own_type_filter)
+
+
+XREF_ROUNDS = [
+    [_round("xref_participant", _person_ids("participant", PARTICIPANT_ID, participant_sor, "prtcpnt_tax_id")),
+     *XREF_LOADS[6:8]],
+    [_round("xref_beneficiary", _person_ids("beneficiary", BENEFICIARY_ID, beneficiary_sor, "bnfcry_tax_id"))],
+    [_round("xref_employee", _person_ids("employee", EMPLOYEE_ID, employee_sor, "emply_tax_id"))],
+]

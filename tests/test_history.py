@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from histloom.operators.history import (classify_changes, effective_target, keep_changes,
+from histloom.operators.history import (classify_changes, effective_target, fan_out, keep_changes,
                                         latest_per_key, mark_current, reflag_current, restart_begin_on_update)
 
 OPEN = dt.date(9999, 12, 31)
@@ -118,3 +118,11 @@ def test_effective_target_drops_superseded_dimension_rows(spark):
 def test_keep_changes(spark):
     df = spark.createDataFrame([("I",), ("U",), ("D",)], "change_type string")
     assert sorted(r.change_type for r in keep_changes(df).collect()) == ["I", "U"]
+
+
+def test_fan_out_emits_the_variants_that_hold(spark):
+    df = spark.createDataFrame([(1, "c", "t"), (2, None, "t"), (3, None, None)], "id int, c string, t string")
+    got = fan_out(df, [(F.col("c").isNotNull(), {"v": F.col("c"), "kind": F.lit("C")}),
+                       (F.col("t") == "t", {"v": F.col("t"), "kind": F.lit("T")})])
+    assert got.columns == ["id", "c", "t", "v", "kind"]
+    assert sorted((r.id, r.v, r.kind) for r in got.collect()) == [(1, "c", "C"), (1, "t", "T"), (2, "t", "T")]

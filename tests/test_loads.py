@@ -74,6 +74,12 @@ def test_account_update_starts_at_the_processing_date(spark):
     assert starts == {AS_OF}
 
 
+def test_cross_reference_loads_take_three_cuts(spark):
+    release_cuts(spark)
+    catalog.QUERIES["load_party_xref_all"](spark, SF_SMALL)
+    assert release_cuts(spark) == 3
+
+
 def test_cuts_are_released(spark, src):
     run_loads([party.LOAD_PARTY], src, as_of=AS_OF).collect()
     assert release_cuts(spark) > 0

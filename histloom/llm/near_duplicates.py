@@ -33,9 +33,10 @@ from .components import connected_components
 BANDS, ROWS = 24, 5
 #: Fixed value: a link needs 100 * intersection >= THRESHOLD * union.
 THRESHOLD = 85
-#: Bytes of text hashed at a time in a task, and shingles per tile.
+#: Bytes of text hashed at a time in a task; about how many shingles, and how
+#: many texts at most, a tile holds.
 CHUNK_BYTES = 1 << 20
-TILE_SHINGLES = 100_000
+TILE_SHINGLES, TILE_TEXTS = 100_000, 500
 
 
 def chunks(texts: list[bytes], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
@@ -163,7 +164,7 @@ def _rest(members: DataFrame, texts: DataFrame, found: DataFrame) -> DataFrame:
     open_buckets = (rows.groupBy("key")
                     .agg(F.min("component").alias("low"), F.max("component").alias("high"),
                          F.count(F.lit(1)).alias("n"), F.bit_xor(h).alias("x"), F.sum(F.shiftright(h, 20)).alias("s"),
-                         F.sum("n_shingles").alias("size"))
+                         F.sum(F.greatest("n_shingles", F.lit(TILE_SHINGLES // TILE_TEXTS))).alias("size"))
                     .where("low <> high")
                     # buckets of the same members (in several bands) are done once
                     .groupBy("n", "x", "s").agg(F.min("key").alias("key"), F.min("size").alias("size"))

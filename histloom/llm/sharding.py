@@ -83,7 +83,9 @@ def assign_slots(rows: DataFrame, group: str, order: list[str], slot: str) -> Da
     ranged = (rows.withColumn("_tie", F.monotonically_increasing_id())
               .repartitionByRange(*[F.col(c).asc_nulls_first() for c in order], F.col("_tie")))
     stored = cut_lineage(ranged)
-    stored = stored.withColumn("_range", F.col("_metadata.file_name"))
+    file = F.col("_metadata.file_name")        # in the order of ranges by the number in its name
+    stored = stored.withColumn("_range", F.concat(
+        F.lpad(F.regexp_extract(file, r"part-(\d+)", 1), 10, "0"), F.lit("/"), file))
     before = Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = (stored.groupBy(group, "_range").agg(F.count(F.lit(1)).alias("_n"))
               .select(F.col(group).alias("_g"), F.col("_range").alias("_r"),

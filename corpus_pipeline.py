@@ -17,14 +17,18 @@ from histloom.sources.io import scratch_path
 ORACLE_SQL = None
 
 
+#: Hundredths of similarity from which documents count as copies.
+COPIES = 80
+
+
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
     return quality_rules.keep_documents(docs, table(spark, sf_dir, "labels"))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays."""
-    return near_duplicates.drop_near_duplicates(docs)
+    """One document of each group of near-duplicates (from ``COPIES`` up) stays."""
+    return near_duplicates.drop_near_duplicates(docs, COPIES)
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -90,7 +90,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op6_fast_similarity_minhash")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
-    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents")).drop("row_key")
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), 85).drop("row_key")
 
 
 @register("op1_pu_quality_classifier")

@@ -11,11 +11,13 @@
    returns a spanning forest of its links, not all of them.
 4. Components of the confirmed links.
 
-With bands of ``ROWS`` equal coordinates, a pair at the threshold shares no
-bucket with probability (1 - 0.85**5)**24 < 1e-6; more similar ones still less."""
+With bands of ``ROWS`` equal coordinates, a pair at the threshold t shares no
+bucket with probability (1 - t**ROWS)**bands, and there are as many bands as bring
+it below ``MISS``: 24 at 0.85, 35 at 0.80.  More similar pairs are missed still less."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -30,8 +32,11 @@ from . import sketch
 from .common import map_texts, packed
 from .components import connected_components
 
-BANDS, ROWS = 24, 5
-#: Fixed value: a link needs 100 * intersection >= THRESHOLD * union.
+#: Coordinates of a band, and how likely a pair at the threshold may be missed.
+ROWS, MISS = 5, 1e-6
+#: Bands of one sketch; more bands take further sketches with seeds of their own.
+SKETCH_BANDS = 24
+#: Fixed value of op6: a link needs 100 * intersection >= THRESHOLD * union.
 THRESHOLD = 85
 #: Bytes of text hashed at a time in a task; about how many shingles, and how
 #: many texts at most, a tile holds.
@@ -39,6 +44,21 @@ CHUNK_BYTES = 1 << 20
 TILE_SHINGLES, TILE_TEXTS = 100_000, 500
 
 
+def bands(threshold: int) -> int:
+    """Bands that miss a pair at ``threshold`` (in hundredths) with probability below ``MISS``."""
+    if not 0 < threshold <= 100:
+        raise ValueError(f"threshold {threshold}; must be above 0 and at most 100")
+    miss = 1 - (threshold / 100) ** ROWS
+    return math.floor(math.log(MISS) / math.log(miss)) + 1 if miss else 1
+
+
+def keys_of(sets: list[np.ndarray], n_bands: int) -> np.ndarray:
+    """(len(sets), n_bands) band keys of shingle sets."""
+    return np.concatenate([
+        sketch.band_keys(sketch.fast_similarity_sketch(sets, min(SKETCH_BANDS, n_bands - done) * ROWS, seed), ROWS)
+        for seed, done in enumerate(range(0, n_bands, SKETCH_BANDS), 1)], axis=1)
+
+
 def chunks(texts: list[bytes], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
     """Slices of at most ``limit`` bytes (or one text)."""
     start, size = 0, 0
@@ -60,9 +80,11 @@ def _rows(docs: DataFrame) -> DataFrame:
             .select("doc_id", _row_key().alias("row_key"), F.col("text").cast("binary").alias("text")))
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
+def fingerprints(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """doc_id, row_key (hash of doc_id and text), n_shingles, digest (of the
-    shingle set; null if empty) and keys (of the bands)."""
+    shingle set; null if empty) and keys (of the bands for ``threshold``)."""
+    n_bands = bands(threshold)
+
     def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             texts = [t or b"" for t in batch.column(2).to_pylist()]
@@ -71,9 +93,9 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                 sets = sketch.shingle_sets(texts[a:b])
                 sizes += [len(s) for s in sets]
                 digests += [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
-                keys.append(sketch.band_keys(sketch.fast_similarity_sketch(sets, BANDS * ROWS), ROWS))
+                keys.append(keys_of(sets, n_bands))
             flat = np.concatenate(keys).astype(np.int64).ravel()
-            offsets = np.arange(0, len(flat) + 1, BANDS, dtype=np.int32)
+            offsets = np.arange(0, len(flat) + 1, n_bands, dtype=np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
             return pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), lists],
@@ -83,11 +105,11 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                      "doc_id long, row_key long, n_shingles long, digest binary, keys array<long>", make)
 
 
-def linked(inter, n_a, n_b):
-    return 100 * inter >= THRESHOLD * (n_a + n_b - inter)
+def linked(inter, n_a, n_b, threshold: int = THRESHOLD):
+    return 100 * inter >= threshold * (n_a + n_b - inter)
 
 
-def _verify_pairs(pairs: DataFrame) -> DataFrame:
+def _verify_pairs(pairs: DataFrame, threshold: int) -> DataFrame:
     """Of rows (a, b, text_a, text_b) the linked ones' (a, b)."""
     def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -98,14 +120,14 @@ def _verify_pairs(pairs: DataFrame) -> DataFrame:
                 sets = dict(zip(known, sketch.shingle_sets(known)))
                 for x, other in zip(left[a:b], right[a:b]):
                     s, o = sets[x], sketch.shingle_sets([other])[0]
-                    keep.append(bool(linked(len(np.intersect1d(s, o, assume_unique=True)), len(s), len(o))))
+                    keep.append(bool(linked(len(np.intersect1d(s, o, assume_unique=True)), len(s), len(o), threshold)))
             mask = pa.array(keep, pa.bool_())
             return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(mask)
         return step
     return map_texts(pairs, ["a", "b", "text_a", "text_b"], "a binary, b binary", make)
 
 
-def _forest(group: pd.DataFrame) -> pd.DataFrame:
+def _forest(group: pd.DataFrame, threshold: int) -> pd.DataFrame:
     """Links between members of different components in one tile pair, as few
     as join what they join."""
     group = group.drop_duplicates("digest")
@@ -115,7 +137,7 @@ def _forest(group: pd.DataFrame) -> pd.DataFrame:
     names, label = group["digest"].tolist(), group["component"].tolist()
     numbers = {c: i for i, c in enumerate(dict.fromkeys(label))}
     part = np.array([numbers[c] for c in label])
-    hit = linked(inter, sizes[:, None], sizes[None, :]) & (part[:, None] < part[None, :])
+    hit = linked(inter, sizes[:, None], sizes[None, :], threshold) & (part[:, None] < part[None, :])
     parent = list(range(len(numbers)))
 
     def root(x: int) -> int:
@@ -131,7 +153,7 @@ def _forest(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(links, columns=["a", "b"])
 
 
-def _links(docs: DataFrame, classes: DataFrame) -> DataFrame:
+def _links(docs: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
     """Confirmed links (a, b) between classes that join all that is linked.
     ``classes``: digest, n_shingles, row_key, keys."""
     members = classes.select("digest", F.explode("keys").alias("key"))
@@ -149,12 +171,12 @@ def _links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     stars = members.where("digest <> hub").select(F.col("hub").alias("a"), F.col("digest").alias("b")).distinct()
     stars = (stars.join(texts.select(F.col("digest").alias("a"), F.col("text").alias("text_a")), "a")
              .join(texts.select(F.col("digest").alias("b"), F.col("text").alias("text_b")), "b"))
-    links = cut_lineage(_verify_pairs(stars))
+    links = cut_lineage(_verify_pairs(stars, threshold))
     found = connected_components(links)
-    return links.unionByName(_rest(members, texts, found))
+    return links.unionByName(_rest(members, texts, found, threshold))
 
 
-def _rest(members: DataFrame, texts: DataFrame, found: DataFrame) -> DataFrame:
+def _rest(members: DataFrame, texts: DataFrame, found: DataFrame, threshold: int) -> DataFrame:
     """Links in buckets that hold different components apart from the hub."""
     rows = (members.where("digest <> hub")
             .join(found, members["digest"] == found["node"], "left")
@@ -176,26 +198,28 @@ def _rest(members: DataFrame, texts: DataFrame, found: DataFrame) -> DataFrame:
               .select("key", "digest", "component", F.least("tile", "other").alias("i"),
                       F.greatest("tile", "other").alias("j"))
               .join(texts.select("digest", "text"), "digest"))
-    return spread.groupBy("key", "i", "j").applyInPandas(_forest, "a binary, b binary")
-
 
+    def forest(group: pd.DataFrame) -> pd.DataFrame:
+        return _forest(group, threshold)
+    return spread.groupBy("key", "i", "j").applyInPandas(forest, "a binary, b binary")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """Per document row: doc_id, row_key, n_shingles, component_id (smallest
     doc_id that links reach, its own included) and kept (doc_id = component_id).
 
     A null, empty or wordless text has no shingles and is alone.  Repeated rows
     are copies of each other and share a verdict.  A null doc_id never is a
     component's smallest unless all its members' are null; then component_id is
-    null and kept true.  Only doc_id and text are read."""
-    prints = cut_lineage(fingerprints(docs))
+    null and kept true.  Shingle sets whose similarity is ``threshold`` hundredths
+    or more are linked.  Only doc_id and text are read."""
+    prints = cut_lineage(fingerprints(docs, threshold))
     some = prints.where("digest IS NOT NULL")
     classes = cut_lineage(some.groupBy("digest").agg(
         F.min("doc_id").alias("least_id"), F.first("n_shingles").alias("n_shingles"),
         F.min_by(F.struct("row_key", "keys"), F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("one"))
         .select("digest", "least_id", "n_shingles", "one.row_key", "one.keys"))
-    found = connected_components(cut_lineage(_links(docs, classes)))
+    found = connected_components(cut_lineage(_links(docs, classes, threshold)))
     named = classes.select("digest", "least_id").join(found, classes["digest"] == found["node"], "left").select(
         "digest", "least_id", F.coalesce("component", "digest").alias("component"))
     least = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
@@ -206,8 +230,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def drop_near_duplicates(docs: DataFrame) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that are kept, with their own columns."""
-    gone = near_duplicates(docs).where("NOT kept").select("row_key").distinct()
+    gone = near_duplicates(docs, threshold).where("NOT kept").select("row_key").distinct()
     keyed = docs.select(packed(docs), F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")).alias("key"))
     return keyed.join(gone, F.col("key") == F.col("row_key"), "left_anti").select("_row.*")

@@ -44,8 +44,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Piece ids of every text, with seeded merge-dropout."""
-    return merge_dropout.encode_documents(docs)
+    """Piece ids of every text, with seeded merge-dropout; the copies that mixing
+    made lie side by side and are segmented each in its own way."""
+    return merge_dropout.encode_documents(docs, copies=True)
 
 
 STAGES = [("quality_rules", keep_good), ("near_duplicates", drop_copies), ("personal_data", redact),

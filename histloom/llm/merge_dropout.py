@@ -1,20 +1,23 @@
 """SentencePiece encoding with seeded merge-dropout, and decoding.
 
 Merges are taken from an agenda (best score first, leftmost of equals).  Each
-candidate that comes up is skipped with probability ``dropout``, decided by a
-hash keyed with the seed, the document's variant, the stretch of text and the
-candidate's number on the agenda: the same inputs give the same ids on any executor and retry, another
-seed or variant other ids.  Any segmentation decodes to the same text."""
+candidate that comes up is skipped with probability ``dropout``.  Every occurrence
+of a word has coins of its own, keyed with the seed, the doc_id, the number of the
+copy and the place of the word in the text: the same inputs give the same ids on
+any executor and retry, another seed, document, copy or place other ids.  Any
+segmentation decodes to the same text.
+
+What a word becomes depends on its coins alone, so the runs seen so far are kept
+as a tree by skipped candidates: a memo of what coins lead to, never of coins."""
 
 from __future__ import annotations
 
 import math
 import struct
-import zlib
 from array import array
 from collections.abc import Callable, Iterator
 from heapq import heapify, heappop, heappush
-from itertools import count, repeat
+from itertools import chain, count, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +31,10 @@ from .pieces import DEFAULT_MODEL, MARK, Memo, Vocabulary, load_vocabulary, pre_
 #: Stretches up to this length keep their agenda in a list, longer ones in a heap.
 SHORT = 24
 _COINS = struct.Struct("<8H")
+#: Coins dealt to every word at once (further ones come from a keyed hash), and
+#: words dealt to at a time.
+WIDTH, DEALT = 32, 4096
+_MORE = 1 << WIDTH
 
 
 def coins(stretch: str, salt: int, dropout: float) -> Iterator[bool]:
@@ -101,10 +108,10 @@ def _from_heap(word: str, scores: dict[str, float], skip: Iterator[bool]) -> lis
     return out
 
 
-def segment(stretch: str, vocab: Vocabulary, salt: int = 0, dropout: float = 0.0) -> list[int]:
+def segment(stretch: str, vocab: Vocabulary, skip: Iterator[bool]) -> list[int]:
     """Ids of a stretch of a pre-token, spaces written as the mark."""
     take = _from_list if len(stretch) <= SHORT else _from_heap
-    pieces = take(stretch, vocab.scores, coins(stretch, salt, dropout))
+    pieces = take(stretch, vocab.scores, skip)
     out = []
     for p in pieces:
         found = vocab.ids.get(p)
@@ -115,35 +122,107 @@ def segment(stretch: str, vocab: Vocabulary, salt: int = 0, dropout: float = 0.0
     return out
 
 
-def encoder(vocab: Vocabulary, seed: int, variant: int, dropout: float, memo_size: int) -> Callable[[str], bytes]:
-    """Text to its ids as int32 bytes."""
-    salt = (seed * 1_000_003 + variant) * 1_000_003 % (1 << 62)
-
-    def part(stretch: str) -> bytes:
-        return array("i", segment(stretch, vocab, salt, dropout)).tobytes()
-    parts = Memo(part, memo_size)
-
-    def compute(word: str) -> bytes:
-        if word == MARK:                       # a literal mark is no space: its bytes
-            return array("i", vocab.bytes_of(word)).tobytes()
-        stretches = vocab.stretches(word.replace(" ", MARK))
-        return b"".join(map(parts.__getitem__, stretches))
-    memo = Memo(compute, memo_size)
-    get = memo.__getitem__
-    return lambda text: b"".join(map(get, pre_tokens(text)))
-
-
-_KEPT: dict[tuple, list[Callable[[str], bytes]]] = {}
-
-
-def encoders(model: str, vocab: Vocabulary, seed: int, dropout: float, variants: int,
-             memo_size: int) -> list[Callable[[str], bytes]]:
-    """One encoder per variant.  A worker process keeps the last ones, so that
-    its next task finds the memo of words filled; this never changes a result."""
-    settings = (model, len(vocab.ids), seed, dropout, variants, memo_size)
+def segment_word(word: str, vocab: Vocabulary, skip: Iterator[bool]) -> bytes:
+    """Ids of a pre-token as int32 bytes; its stretches take their coins in turn."""
+    out = array("i")
+    if word == MARK:                           # a literal mark is no space: its bytes
+        out.extend(vocab.bytes_of(word))
+    else:
+        for stretch in vocab.stretches(word.replace(" ", MARK)):
+            out.extend(segment(stretch, vocab, skip))
+    return out.tobytes()
+
+
+def dealt(key: bytes, n: int, dropout: float) -> Iterator[list[int]]:
+    """The first ``WIDTH`` coins of each of ``n`` words, ``DEALT`` words at a time:
+    bit i is set if candidate i is skipped.  Bit ``WIDTH`` is always set."""
+    raw = np.random.Philox(key=np.frombuffer(key, np.uint64)).random_raw
+    bar = round(dropout * 65536)
+    for start in range(0, n, DEALT):
+        size = min(DEALT, n - start)
+        if bar <= 0:
+            yield [_MORE] * size
+            continue
+        bits = raw(size * WIDTH // 4).astype("<u8", copy=False).view("<u2").reshape(size, WIDTH) < bar
+        masks = np.packbits(bits, axis=1, bitorder="little").view("<u4").ravel()
+        yield (masks.astype(np.int64) | _MORE).tolist()
+
+
+def all_coins(mask: int, key: bytes, word: str, place: int, dropout: float) -> Iterator[bool]:
+    """The coins of one word: those of ``mask``, then a keyed stream."""
+    salt = xxhash.xxh3_64_intdigest(key, place)
+    return chain((bool(mask >> i & 1) for i in range(WIDTH)), coins(word, salt, dropout))
+
+
+def encoder(vocab: Vocabulary, seed: int, variant: int, dropout: float,
+            memo_size: int) -> Callable[..., bytes]:
+    """(text, doc_id, copy) to the ids of the text as int32 bytes.
+
+    The memo holds, per word, a tree of the runs seen.  A node is [coins it looks
+    at after its last skip, as a mask; ids if none of them skips; nodes by the
+    next skip]."""
+    def node(word: str, skips: tuple[int, ...]) -> list:
+        used = 0
+
+        def script() -> Iterator[bool]:
+            nonlocal used
+            for bit in count():
+                used = bit + 1
+                yield bit < WIDTH and 1 << bit in skips
+        ids = segment_word(word, vocab, script())
+        looks = (1 << min(used, WIDTH + 1)) - 1
+        return [looks & -(skips[-1] << 1) if skips else looks, ids, None]
+    memo = Memo(lambda word: node(word, ()), memo_size)
+    get, longest, stored = memo.__getitem__, memo.longest, 0
+
+    def follow(at: list, word: str, mask: int, key: bytes, place: int) -> bytes:
+        nonlocal stored
+        skips: tuple[int, ...] = ()
+        while rest := mask & at[0]:
+            skip = rest & -rest
+            if skip == _MORE:                  # the run needs more coins than were dealt
+                return segment_word(word, vocab, all_coins(mask, key, word, place, dropout))
+            skips += (skip,)
+            if at[2] is None:
+                at[2] = {}
+            known = at[2].get(skip)
+            if known is None:
+                known = at[2][skip] = node(word, skips)
+                stored += 1
+            at = known
+        if stored >= memo_size:
+            memo.clear()
+            memo.old, stored = {}, 0
+        return at[1]
+
+    def encode(text: str, doc_id: int | None = None, copy: int = 0) -> bytes:
+        words = pre_tokens(text)
+        name = f"{seed}:{variant}:{doc_id}:{copy}:{text if doc_id is None else ''}"
+        key = xxhash.xxh3_128_digest(name.encode())
+        out: list[bytes] = []
+        add = out.append
+        for masks in dealt(key, len(words), dropout):
+            start = len(out)
+            for word, mask in zip(words[start:start + DEALT], masks):
+                if len(word) > longest:
+                    add(segment_word(word, vocab, all_coins(mask, key, word, len(out), dropout)))
+                    continue
+                at = get(word)
+                add(follow(at, word, mask, key, len(out)) if mask & at[0] else at[1])
+        return b"".join(out)
+    return encode
+
+
+_KEPT: dict[tuple, Callable[..., bytes]] = {}
+
+
+def kept_encoder(model: str, vocab: Vocabulary, seed: int, dropout: float, memo_size: int) -> Callable[..., bytes]:
+    """A worker process keeps the last encoder, so that its next task finds the
+    memo of words filled; this never changes a result."""
+    settings = (model, len(vocab.ids), seed, dropout, memo_size)
     if settings not in _KEPT:
         _KEPT.clear()
-        _KEPT[settings] = [encoder(vocab, seed, v, dropout, memo_size // variants) for v in range(variants)]
+        _KEPT[settings] = encoder(vocab, seed, 0, dropout, memo_size)
     return _KEPT[settings]
 
 
@@ -153,34 +232,37 @@ def decode_ids(ids, vocab: Vocabulary) -> str:
     return (raw[1:] if raw[:1] == b" " else raw).decode("utf-8", "replace")
 
 
-def variant_of(doc_id: int | None, variants: int) -> int:
-    return zlib.crc32(str(doc_id).encode()) % variants
-
-
 def encode_documents(docs: DataFrame, model: str = DEFAULT_MODEL, seed: int = 1, dropout: float = 0.1,
-                     variants: int = 2, memo_size: int = 300_000) -> DataFrame:
+                     copies: bool = False, memo_size: int = 300_000) -> DataFrame:
     """Ids of every whole text: doc_id, variant, n_tokens, ids (array<int>) and
     lossless (whether decoding the ids gave back the text).
 
-    Documents fall into ``variants`` groups by doc_id, which segment alike words
-    differently; more variants cost more time per distinct word.  One row per
+    Every occurrence of a word is segmented by coins of its own.  Repeated rows
+    are segmented alike (variant 0), unless ``copies``: then rows of equal doc_id
+    and text that follow each other are numbered by variant from 0 and each has
+    its own coins; a run that a task's border cuts starts anew.  One row per
     document row; an empty text has no ids; a null text has null ids, 0 tokens
-    and lossless true (it decodes to null).  Only doc_id and text are read; the
-    memo of words is bounded and never changes the result."""
+    and lossless true (it decodes to null).  Without a doc_id the text stands for
+    it.  Only doc_id and text are read; the memo of words is bounded and never
+    changes the result."""
     vocab = load_vocabulary(model)
 
     def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
-        encode = encoders(model, vocab, seed, dropout, variants, memo_size)
+        encode = kept_encoder(model, vocab, seed, dropout, memo_size)
+        last, copy = None, 0
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            nonlocal last, copy
             doc_ids = batch.column(0).to_pylist()
             variant, chunks, sizes, good, nulls = [], [], array("i", [0]), [], []
             total = 0
             for doc_id, value in zip(doc_ids, batch.column(1)):
                 text = value.as_py()
-                v = variant_of(doc_id, variants)
-                ids = encode[v](text) if text else b""
-                variant.append(v)
+                if copies:
+                    copy = copy + 1 if last == (doc_id, text) else 0
+                    last = (doc_id, text)
+                ids = encode(text, doc_id, copy) if text else b""
+                variant.append(copy)
                 nulls.append(text is None)
                 good.append(not text or decode_ids(np.frombuffer(ids, "i4").tolist(), vocab) == text)
                 chunks.append(ids)

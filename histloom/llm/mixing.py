@@ -2,8 +2,8 @@
 
 1. A classifier learned from a labelled table gives every document posteriors of
    the domains.  It is a naive Bayes model over binned features of the text and
-   the number of cue words (words that a domain's labelled texts hold far more
-   often than the others'), all in Spark expressions.
+   per domain the number of its cue words (words that its labelled texts hold far
+   more often than the others'), all in Spark expressions.
 2. Rates r >= 0 are fitted so that the expected domain token totals
    ``sum_d r_d * n_d * p_dk`` match the targets, by distributed
    projected-gradient least squares from r = 1 (nothing changed).
@@ -46,8 +46,9 @@ BORDERS = {
     "exclaim_per_word": (0.05, 0.1, 0.2, 0.5, 1.0, 1.9),
     "word_length": (2.0, 3.0, 4.0, 4.5, 5.0, 5.5, 6.0, 7.0, 8.0, 10.0, 15.0),
     "n_words": (1, 10, 25, 50, 100, 200, 400, 800, 2000, 5000),
-    "cues": (1, 2, 4),
 }
+#: Bin borders of the number of cue words, for each domain that has any.
+CUE_BORDERS = (1, 2, 4)
 _SYMBOLS = "#*$%&|"
 
 
@@ -77,8 +78,13 @@ def _count(text: Column, mark: str) -> Column:
     return F.octet_length(text) - F.octet_length(F.replace(text, F.lit(mark), F.lit("")))
 
 
-def described(docs: DataFrame, cues: list[str], columns: list[str]) -> DataFrame:
-    """``columns``, then _n_words and _bins (one int per feature of BORDERS)."""
+def borders_of(cues: dict[str, list[str]]) -> list[tuple]:
+    """Bin borders of all features: those of BORDERS, then one per list of cues."""
+    return [*BORDERS.values(), *[CUE_BORDERS] * len(cues)]
+
+
+def described(docs: DataFrame, cues: dict[str, list[str]], columns: list[str]) -> DataFrame:
+    """``columns``, then _n_words and _bins (one int per feature of ``borders_of``)."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = once(docs.select(*columns, text.alias("_text")), _words(F.col("_text")), "_words")
     rows = once(rows, F.array_distinct("_words"), "_forms")
@@ -92,16 +98,16 @@ def described(docs: DataFrame, cues: list[str], columns: list[str]) -> DataFrame
         "exclaim_per_word": _count(F.col("_text"), "!") / n,
         "word_length": F.length("_text") / n,
         "n_words": F.size("_words"),
-        "cues": F.size(F.array_intersect("_forms", F.array(*[F.lit(c) for c in cues]))) if cues else F.lit(0),
     }
-    rows = once(rows, F.array(*[measures[f].cast("double") for f in BORDERS]), "_measures")
-    bins = F.array(*[_bin(F.col("_measures")[i], b) for i, b in enumerate(BORDERS.values())])
+    held = [F.size(F.array_intersect("_forms", F.array(*[F.lit(c) for c in words]))) for words in cues.values()]
+    rows = once(rows, F.array(*[x.cast("double") for x in [*[measures[f] for f in BORDERS], *held]]), "_measures")
+    bins = F.array(*[_bin(F.col("_measures")[i], b) for i, b in enumerate(borders_of(cues))])
     return once(rows.withColumn("_n_words", F.size("_words").cast("long")), bins, "_bins").select(
         *columns, "_n_words", "_bins")
 
 
-def learn_cues(labelled: DataFrame) -> list[str]:
-    """Cue words of all domains, from rows (domain, text).  Counts are combined
+def learn_cues(labelled: DataFrame) -> dict[str, list[str]]:
+    """Cue words per domain that has any, from rows (domain, text).  Counts are combined
     before the shuffle; at most CUES words a domain reach the driver."""
     texts = labelled.groupBy("domain").agg(F.count(F.lit(1)).alias("texts"))
     total = scalar(texts, F.sum("texts")) or 0
@@ -115,14 +121,15 @@ def learn_cues(labelled: DataFrame) -> list[str]:
              .where(f"lift >= {CUE_LIFT}"))
     best = rated.groupBy("domain").agg(F.slice(F.array_sort(F.collect_list(
         F.struct((-F.col("n")).alias("o"), "word"))), 1, CUES).alias("best"))
-    return sorted({r["w"] for r in best.select(F.explode("best.word").alias("w")).collect()})
+    return {r["domain"]: sorted(r["words"])
+            for r in best.select("domain", F.col("best.word").alias("words")).orderBy("domain").collect()}
 
 
 @dataclass
 class DomainModel:
     """Log weights of naive Bayes: prior per domain, and per feature, bin and domain."""
     domains: list[str]
-    cues: list[str]
+    cues: dict[str, list[str]]
     prior: list[float]
     weights: list[list[list[float]]]
 
@@ -131,7 +138,7 @@ class DomainModel:
         logs = []
         for k in range(len(self.domains)):
             total = F.lit(self.prior[k])
-            for f in range(len(BORDERS)):
+            for f in range(len(self.weights)):
                 by_bin = F.array(*[F.lit(w[k]) for w in self.weights[f]])
                 total = total + F.element_at(by_bin, F.element_at("_bins", f + 1) + 1)
             logs.append(total)
@@ -157,11 +164,12 @@ def learn_domains(docs: DataFrame, labelled: DataFrame, max_rows: int = LABELLED
         labelled, texts = labelled.where(chosen), texts.where(chosen)
     rows = cut_lineage(texts.join(labelled, "doc_id"))
     cues = learn_cues(rows)
+    borders = borders_of(cues)
     cells = (described(rows, cues, ["domain"]).select("domain", F.posexplode("_bins").alias("feature", "bin"))
              .groupBy("domain", "feature", "bin").agg(F.count(F.lit(1)).alias("n")))
     counts: dict[str, list[list[int]]] = {}
     for r in cells.collect():                  # domains x features x bins rows
-        table = counts.setdefault(r["domain"], [[0] * (len(b) + 1) for b in BORDERS.values()])
+        table = counts.setdefault(r["domain"], [[0] * (len(b) + 1) for b in borders])
         table[r["feature"]][r["bin"]] += r["n"]
     domains = sorted(counts)
     if len(domains) > MAX_DOMAINS:
@@ -170,7 +178,7 @@ def learn_domains(docs: DataFrame, labelled: DataFrame, max_rows: int = LABELLED
     prior = [math.log(s / sum(size)) for s in size]
     weights = [[[math.log((counts[d][f][b] + 0.5) / (size[k] + 0.5 * (len(border) + 1)))
                  for k, d in enumerate(domains)] for b in range(len(border) + 1)]
-               for f, border in enumerate(BORDERS.values())]
+               for f, border in enumerate(borders)]
     return DomainModel(domains, cues, prior, weights)
 
 

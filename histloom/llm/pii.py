@@ -99,7 +99,8 @@ def find_spans(text: str, anchors: ahocorasick.Automaton) -> dict[str, list[tupl
                 m = _IP.match(text, at)
                 if m:
                     done["ip"] = m.end()
-                    if all(len(x.lstrip("0")) <= 3 and int(x) <= 255 for x in m.group().split(".")):
+                    if all(len(x) <= 3 and int(x or "0") <= 255
+                           for x in (part.lstrip("0") for part in m.group().split("."))):
                         spans["ip"].append(m.span())
                 else:                          # a later start in this run of digits fails alike
                     ip_free = _end_of_digits(text, at)
@@ -167,7 +168,10 @@ def _street(text: str, at: int, length: int, floor: int) -> tuple[int, int] | No
     if text[at] == " " and not text[end:end + 1].isalpha():          # 12 Main Street
         begin = max(floor, at - 60)
         if m := _NUMBER_BEFORE.search(text[begin:at]):
-            return begin + m.start(), end
+            begin += m.start()
+            while begin > floor and text[begin - 1] in "0123456789":     # the look back may cut a number
+                begin -= 1
+            return begin, end
         return None
     if text[at] != " " and (m := _NUMBER_AFTER.match(text, end, min(len(text), end + 60))):
         begin = at

@@ -1,6 +1,6 @@
 """Quality classifier by positive-unlabelled learning.
 
-Trusted positives are documents labelled good; the unlabelled set is a sample of
+Trusted positives are documents labelled good; the unlabelled set is drawn from
 all documents, whose labels are never looked at.  A first classifier of
 positives against unlabelled gives the class prior (best-bin estimate on rows it
 was not fitted on); then the non-negative unbiased risk
@@ -27,7 +27,7 @@ FEATURES = ("log_words", "word_length", "distinct_share", "top_word_share", "sym
             "digit_share", "exclaim_per_word", "stop_per_word", "comma_per_word", "dup_line_share",
             "repeat_share", "words_per_line", "non_ascii_share", "short_word_share", "capital_word_share")
 #: At most so many rows of either kind are fitted on (chosen by a hash of doc_id).
-SAMPLE_ROWS = 20_000
+FIT_ROWS = 20_000
 BINS = 16
 
 _UPPER, _DIGITS = bytes(range(0x41, 0x5B)), b"0123456789"
@@ -161,7 +161,7 @@ def fold(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5
 
 
-def _sample(rows: DataFrame, limit: int, seed: int) -> np.ndarray:
+def _draw(rows: DataFrame, limit: int, seed: int) -> np.ndarray:
     """Features of about ``limit`` rows (all, if there are fewer; never more than
     twice as many), by a hash of doc_id."""
     n = scalar(rows, F.count(F.lit(1)))
@@ -173,13 +173,13 @@ def _sample(rows: DataFrame, limit: int, seed: int) -> np.ndarray:
     return np.vstack(got["x"].to_numpy()) if len(got) else np.zeros((0, len(FEATURES)))
 
 
-def score_documents(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+def score_documents(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
     """Score of every whole text: doc_id, held_out (fold 0), score (0 to 1),
     predicted (1 if score >= 0.3).
 
     Labels are only read of rows outside the held-out fold, and only positives;
     label, language, source and id are no inputs of a score.  At most
-    ``sample_rows`` (about) of the positives and of all documents are fitted on;
+    ``fit_rows`` (about) of the positives and of all documents are fitted on;
     features are computed of all.  One row per document row; null and empty
     texts are scored as texts without words."""
     def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
@@ -192,7 +192,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPL
     known = cut_lineage(map_texts(rows, ["doc_id", "text"], "doc_id long, x array<double>", make))
     trusted = (labels.where((F.col("quality") == 1) & (fold(F.col("doc_id")) != 0))
                .select(F.col("doc_id").cast("long").alias("doc_id")).distinct())
-    scorer = fit(_sample(known.join(trusted, "doc_id", "left_semi"), sample_rows, 1), _sample(known, sample_rows, 2))
+    scorer = fit(_draw(known.join(trusted, "doc_id", "left_semi"), fit_rows, 1), _draw(known, fit_rows, 2))
 
     def make_scores() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:

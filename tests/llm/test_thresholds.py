@@ -3,7 +3,6 @@
 import pytest
 
 import corpus_pipeline as cp
-from histloom.llm import mixing, pii
 from histloom.llm import near_duplicates as nd
 
 from . import cases
@@ -37,19 +36,6 @@ def test_pipeline_stage_links_from_80(spark):
     assert sorted(str(r.doc_id) for r in got.collect()) == sorted(str(r[0]) for r in components(cases.rows(), 80) if r[2])
 
 
-def test_stages_after_the_copies(spark, tmp_path):
-    """What test_pipeline.test_stages checks behind its comparison at 85."""
-    base, anchors = str(tmp_path), pii.build_anchors()
-    cases.labels(spark).write.parquet(f"{base}/labels.parquet")
-    docs = cases.docs(spark)
-    clean = sorted((tuple(r)[:2] for r in cp.redact(spark, docs, base).collect()), key=str)
-    assert clean == sorted(((r[0], r[1] and pii.redact(r[1], pii.find_spans(r[1], anchors))) for r in cases.rows()),
-                           key=str)
-    copies = mixing.mix_documents(docs, mixing.quality_domains(cases.labels(spark)), factors=mixing.FACTORS)
-    assert cp.mix(spark, docs, base).count() == sum(r.copies for r in copies.collect())
-    assert cp.encode(spark, docs, base).where("NOT lossless").count() == 0
-
-
 def test_bands_bound_the_miss_probability():
     assert nd.bands(85) == 24 and nd.bands(80) == 35 and nd.bands(100) == 1
     for t in range(1, 100):

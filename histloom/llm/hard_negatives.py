@@ -68,7 +68,9 @@ class Tree:
         return np.sqrt(np.maximum(square, 0))
 
     def grow(self, points: np.ndarray, leaves: int, fanout: int) -> None:
-        """Split ``points`` (lifted) into about ``leaves`` leaves."""
+        """Split ``points`` (lifted) into about ``leaves`` leaves.  A child's share of
+        them is that of its points, three quarters at most, rounded down: where one
+        child takes nearly all points, splitting ends soon."""
         self.n_leaves = 0
         self._grow(points, leaves, fanout)
 
@@ -83,7 +85,7 @@ class Tree:
         nearest = self.distances(points, chosen).argmin(axis=1)
         for j in range(len(chosen)):
             mine = points[nearest == j]
-            node.children.append(self._grow(mine, round(leaves * len(mine) / len(points)), fanout))
+            node.children.append(self._grow(mine, int(leaves * min(len(mine) / len(points), 0.75)), fanout))
         return number
 
     def _split_points(self, points: np.ndarray, k: int) -> np.ndarray:
@@ -197,13 +199,23 @@ def _top(scores: np.ndarray, allowed: np.ndarray, k: int) -> tuple[np.ndarray, n
         kth = (np.sort(masked, axis=1)[:, -k] if masked.dtype == object
                else np.partition(masked, -k, axis=1)[:, -k])
         allowed = allowed & (masked >= kth[:, None])
+    row, column = _ordered(scores, allowed)
+    first = _places(row) < k
+    return row[first], column[first]
+
+
+def _ordered(scores: np.ndarray, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) of the allowed scores, by row, then higher scores first, then by column."""
     row, column = np.nonzero(allowed)
     value = scores[row, column]
     order = (np.lexsort((column, -value, row)) if value.dtype != object else
              np.array(sorted(range(len(row)), key=lambda i: (row[i], -value[i], column[i])), np.int64))
-    row, column = row[order], column[order]
-    place = np.arange(len(row)) - np.searchsorted(row, row, "left")
-    return row[place < k], column[place < k]
+    return row[order], column[order]
+
+
+def _places(row: np.ndarray) -> np.ndarray:
+    """The place of each element among those of its row, from 0."""
+    return np.arange(len(row)) - np.searchsorted(row, row, "left")
 
 
 def _longs(values: np.ndarray) -> np.ndarray:
@@ -249,14 +261,18 @@ def negatives_in(anchors: pd.DataFrame, rows: pd.DataFrame, tree: Tree, scale: i
     ``low`` to ``high`` hundredths of the positive's."""
     out = [pd.DataFrame({"rid": [], "place": [], "score": [], "found": pd.array([], "Int64")})]
     for some, rows, scores in _each(anchors, rows, tree, scale):
-        other = ~_same_label(some, rows)
-        targets = some["targets"].tolist()
+        targets = [[int(p) if p >= 0 else None for p in t] for t in some["targets"]]     # below 0 no score fits
+        fit = [[p for p in t if p is not None] for t in targets]
+        least, most = (np.array([f(t) if t else -1 for t in fit], scores.dtype)[:, None] for f in (min, max))
         hundred = 100 * scores
+        row, column = _ordered(scores, ~_same_label(some, rows) & (least >= 0) & (low * least <= hundred)
+                               & (hundred <= high * most))
+        value = hundred[row, column]
         for place in range(max(map(len, targets), default=0)):
-            has = np.array([place < len(t) for t in targets])
-            p = np.array([int(t[place]) if place < len(t) else 0 for t in targets], scores.dtype)[:, None]
-            allowed = other & has[:, None] & (low * p <= hundred) & (hundred <= high * p)
-            r, c = _top(scores, allowed, k)
+            p = np.array([t[place] if place < len(t) and t[place] is not None else -1 for t in targets], scores.dtype)[row]
+            at = np.flatnonzero((p >= 0) & (low * p <= value) & (value <= high * p))
+            at = at[_places(row[at]) < k]
+            r, c = row[at], column[at]
             out.append(pd.DataFrame({"rid": some["rid"].to_numpy()[r], "place": place,
                                      "score": _longs(scores[r, c]), "found": _ids(rows, c)}))
     return pd.concat(out[1:] or out)

@@ -93,4 +93,4 @@ def q_load_party_xref_all(spark, sf_dir):
     return checked_output(run_rounds(xref.XREF_ROUNDS, src, as_of=AS_OF))
 
 
-from . import catalog_ops  # noqa: E402,F401  (registers the operator-level queries)
+from . import catalog_ops, catalog_stored  # noqa: E402,F401  (register the operator-level queries)

@@ -2,8 +2,7 @@
 
 * ``audit_open`` appends the row that opens a batch; ``audit_close`` closes the
   latest open row of a batch (max audit id with no end time).  Both are
-  DataFrame rewrites of the audit table -- write the result back with
-  ``sources.io.overwrite`` (or MERGE where the table format supports it).
+  DataFrame rewrites; ``operators.batch`` does the same to a stored audit table.
 * ``valid_steps`` lists the transformation steps of one source and work table
   that are valid on a date, in sequence order, with their text flattened to
   one line; ``run_steps`` executes them through ``spark.sql``.
@@ -12,7 +11,6 @@
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window
@@ -28,16 +26,20 @@ def _ts(value) -> Column:
     return F.lit(str(value)).cast("timestamp_ntz")
 
 
-def audit_open(batches: DataFrame, batch_name: str, scheduler: str, status: str,
-               now=None) -> DataFrame:
-    """Append the opening row of ``batch_name``: start = now, no end, the
-    given status; the id continues the table's identity (max id + 1)."""
-    new = batches.agg((F.coalesce(F.max("audit_id"), F.lit(0)) + 1).cast("int").alias("audit_id")) \
+def audit_open_row(batches: DataFrame, batch_name: str, scheduler: str, status: str, now=None) -> DataFrame:
+    """The opening row of ``batch_name``: start = now, no end, the given status; the
+    id continues the table's identity (max id + 1)."""
+    return batches.agg((F.coalesce(F.max("audit_id"), F.lit(0)) + 1).cast("int").alias("audit_id")) \
         .select("audit_id",
                 F.lit(batch_name).alias("batch_name"), F.lit(scheduler).alias("scheduler"),
                 _ts(now).alias("batch_start_dtm"), F.lit(None).cast("timestamp_ntz").alias("batch_end_dtm"),
                 F.lit(status).alias("batch_load_stus_ind"), _ts(now).alias("row_process_dtm"))
-    return batches.unionByName(new)
+
+
+def audit_open(batches: DataFrame, batch_name: str, scheduler: str, status: str,
+               now=None) -> DataFrame:
+    """Append the opening row of ``batch_name``."""
+    return batches.unionByName(audit_open_row(batches, batch_name, scheduler, status, now))
 
 
 def open_audit_id(batches: DataFrame, batch_name: str) -> Column:
@@ -49,7 +51,12 @@ def open_audit_id(batches: DataFrame, batch_name: str) -> Column:
 def audit_close(batches: DataFrame, batch_name: str, status: str, now=None) -> DataFrame:
     """Close the latest open row of ``batch_name``: end = now, new status and
     process time.  Every other row is unchanged."""
-    hit = F.coalesce(F.col("audit_id") == open_audit_id(batches, batch_name), F.lit(False))
+    return close_row(batches, F.col("audit_id") == open_audit_id(batches, batch_name), status, now)
+
+
+def close_row(batches: DataFrame, which: Column, status: str, now=None) -> DataFrame:
+    """``batches`` with the row that ``which`` picks closed."""
+    hit = F.coalesce(which, F.lit(False))
     return batches.select(*[
         (F.when(hit, _ts(now)).otherwise(F.col(c)).alias(c) if c in ("batch_end_dtm", "row_process_dtm")
          else F.when(hit, F.lit(status)).otherwise(F.col(c)).alias(c) if c == "batch_load_stus_ind"
@@ -57,11 +64,6 @@ def audit_close(batches: DataFrame, batch_name: str, status: str, now=None) -> D
         for c in batches.columns])
 
 
-def catalog_columns(df: DataFrame, exclude: Sequence[str] = ("audit_id",)) -> list[str]:
-    """Insertable column names in ordinal order (identity columns excluded)."""
-    return [c for c in df.columns if c not in exclude]
-
-
 def _match(col: str, value: str) -> Column:
     return F.lower(F.trim(F.col(col))) == F.lower(F.trim(F.lit(value)))
 

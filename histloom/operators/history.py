@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.validity import OPEN_END, date_lit, is_open, to_dtm
+from .keyfilter import reduce_by_keys
 
 # The control columns every history row carries.
 CONTROL_COLUMNS = (
@@ -33,8 +34,12 @@ VERSION_ORDER = ("end_dtm", "end_dt", "begin_dtm", "begin_dt", "check_sum")
 # not say which version is newer.)
 LOAD_ORDER = ("audit_id", "row_process_dtm")
 
+# Columns a stored history adds: its partition, and the salt of its buckets.
+OPEN_PART, KEY_SALT = "open_ind", "key_salt"
+
 # Columns never used to rank versions.
-NOT_RANKED = ("row_process_dtm", "current_row_ind", "change_type")  # as tie-breakers; an order may name them
+NOT_RANKED = ("row_process_dtm", "current_row_ind", "change_type",  # as tie-breakers; an order may name them
+              OPEN_PART, KEY_SALT)
 
 INSERT, UPDATE, DUPLICATE = "I", "U", "D"
 
@@ -82,9 +87,36 @@ def _renamed_keys(keys: Sequence[str]) -> list[Column]:
     return [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
 
 
+def open_versions(target: DataFrame, keys: Sequence[str], target_filter: Column | None = None) -> DataFrame:
+    """The current, open rows of ``target`` that a batch is compared with.  The filter
+    is plain equalities, so it reaches the scan; NULL keys match nothing."""
+    cur = target.filter(F.col("current_row_ind") & (F.col("end_dt") == date_lit(OPEN_END)))
+    for k in keys:
+        cur = cur.filter(F.col(k).isNotNull())
+    return cur if target_filter is None else cur.filter(target_filter)
+
+
+def load_rank(df: DataFrame, checksum: str = "check_sum") -> Column:
+    """What makes one stored version of a key the latest; its ``checksum`` comes last."""
+    order = [c for c in (*LOAD_ORDER, *VERSION_ORDER) if c in df.columns and c != checksum]
+    return F.struct(*order, checksum)
+
+
+def compare_with_latest(src: DataFrame, latest: DataFrame, keys: Sequence[str],
+                        checksum: str = "check_sum") -> DataFrame:
+    """Adds ``change_type`` from ``latest``: one row per key (``_k0``, ...) with the
+    checksum ``_tgt_sum``.  The join is null-safe over keys that are never NULL: that
+    keeps a shuffle between it and an aggregate below, so AQE can split a hot key."""
+    j = _key_join(src, latest.withColumn("_tgt_hit", F.lit(True)), keys, "left", null_safe=True)
+    change = (F.when(F.col("_tgt_hit").isNull(), F.lit(INSERT))
+               .when(F.col("_tgt_sum") != F.col(checksum), F.lit(UPDATE))
+               .otherwise(F.lit(DUPLICATE)))
+    return j.withColumn("change_type", change).drop("_tgt_sum", "_tgt_hit")
+
+
 def classify_changes(src: DataFrame, target: DataFrame | None, keys: Sequence[str],
                      target_filter: Column | None = None,
-                     checksum: str = "check_sum") -> DataFrame:
+                     checksum: str = "check_sum", reduce: bool = False) -> DataFrame:
     """Add ``change_type``: 'I' key not current in ``target``, 'U' current
     with another checksum, 'D' same checksum (or a NULL checksum).
 
@@ -93,25 +125,17 @@ def classify_changes(src: DataFrame, target: DataFrame | None, keys: Sequence[st
     the source never fans out.  ``target=None`` means an empty target: every row
     is 'I'.  A NULL key matches nothing.
 
-    The filter is plain equalities, so it reaches the target's scan.  NULL keys
-    are taken out of the target and the join is null-safe: that keeps a shuffle
-    between the aggregate and the join, so AQE can split a hot key."""
+    With ``reduce`` the target's rows whose key is surely not in ``src`` are dropped
+    by a Bloom filter before the aggregate: for a small batch against a long history.
+    ``src`` is then read twice."""
     if target is None:
         return src.withColumn("change_type", F.lit(INSERT))
-    cur = target.filter(F.col("current_row_ind") & (F.col("end_dt") == date_lit(OPEN_END)))
-    for k in keys:
-        cur = cur.filter(F.col(k).isNotNull())
-    if target_filter is not None:
-        cur = cur.filter(target_filter)
-    order = [c for c in (*LOAD_ORDER, *VERSION_ORDER) if c in cur.columns and c != checksum] + [checksum]
+    cur = open_versions(target, keys, target_filter)
+    if reduce:
+        cur = reduce_by_keys(cur, src, keys)
     latest = (cur.groupBy(*_renamed_keys(keys))
-                 .agg(F.max(F.struct(*order)).getField(checksum).alias("_tgt_sum"))
-                 .withColumn("_tgt_hit", F.lit(True)))
-    j = _key_join(src, latest, keys, "left", null_safe=True)
-    change = (F.when(F.col("_tgt_hit").isNull(), F.lit(INSERT))
-               .when(F.col("_tgt_sum") != F.col(checksum), F.lit(UPDATE))
-               .otherwise(F.lit(DUPLICATE)))
-    return j.withColumn("change_type", change).drop("_tgt_sum", "_tgt_hit")
+                 .agg(F.max(load_rank(cur, checksum)).getField(checksum).alias("_tgt_sum")))
+    return compare_with_latest(src, latest, keys, checksum)
 
 
 def keep_changes(df: DataFrame) -> DataFrame:

@@ -26,6 +26,7 @@ from ..operators.history import (audit_id_for, classify_changes, control_columns
                                  effective_target, keep_changes, mark_current,
                                  restart_begin_on_update)
 from ..sources.fixtures import Sources
+from ..sources.history_table import HistoryTable
 from ..sources.io import cut_lineage
 from . import targets as T
 
@@ -66,10 +67,11 @@ def prepared(spec: LoadSpec, src: Sources, as_of) -> DataFrame:
     return T.conform(d, cols).distinct()
 
 
-def finish(spec: LoadSpec, rows: DataFrame, target: DataFrame | None, as_of,
+def finish(spec: LoadSpec, rows: DataFrame, target: DataFrame | HistoryTable | None, as_of,
            process_ts: Column | None, materialize: bool = True) -> DataFrame:
     tf = spec.target_filter() if spec.target_filter else None
-    c = keep_changes(classify_changes(rows, target, spec.keys, tf))
+    c = keep_changes(target.classify(rows, tf) if isinstance(target, HistoryTable)
+                     else classify_changes(rows, target, spec.keys, tf))
     if materialize:
         # The current-row flag reads the rows twice (per-key aggregate + the
         # rows themselves); store them once so the source joins, DISTINCT and
@@ -82,11 +84,11 @@ def finish(spec: LoadSpec, rows: DataFrame, target: DataFrame | None, as_of,
     return T.conform(c, target_columns(spec.layout))
 
 
-def run_load(spec: LoadSpec, src: Sources, target: DataFrame | None = None,
+def run_load(spec: LoadSpec, src: Sources, target: DataFrame | HistoryTable | None = None,
              as_of=None, process_ts: Column | None = None,
              materialize: bool = True) -> DataFrame:
-    """One INSERT...SELECT of the template: the new I/U rows for ``target``.
-    ``as_of`` is the current date by default."""
+    """One INSERT...SELECT of the template: the new I/U rows for ``target`` (rows, or
+    a stored history).  ``as_of`` is the current date by default."""
     as_of = _today(as_of)
     return finish(spec, prepared(spec, src, as_of), target, as_of, process_ts, materialize)
 
@@ -127,13 +129,16 @@ def run_rounds(rounds: Sequence[Sequence[LoadSpec]], src: Sources, history: Data
     return work
 
 
-def run_groups(groups: Sequence[Sequence[LoadSpec]], src: Sources, **kw) -> DataFrame:
-    """Specs folded within each group; groups write disjoint keys (e.g. a
-    different id type each), so their results are simply appended."""
-    out = None
-    for g in groups:
-        r = run_loads(g, src, **kw)
-        out = r if out is None else out.unionByName(r)
+def run_stored(specs: Sequence[LoadSpec], src: Sources, history: HistoryTable, as_of=None,
+               process_ts: Column | None = None) -> list[DataFrame]:
+    """Each spec's new versions, compared with the stored history and appended to it
+    before the next spec; returns them by spec."""
+    as_of, process_ts = _today(as_of), _pinned(process_ts)
+    out = []
+    for spec in specs:
+        new = cut_lineage(run_load(spec, src, history, as_of, process_ts, materialize=False))
+        history.append(new)
+        out.append(new)
     return out
 
 

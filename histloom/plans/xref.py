@@ -63,26 +63,10 @@ def _xref_rows(df, sor_party_id, id_type):
     )
 
 
-def _person_loader(table, xref_type, sor_fn, out_type, sor_value, required):
-    def derive(src, as_of):
-        df = getattr(src, table).filter(active() & real_icu())
-        for c in required:
-            df = df.filter(clean_string(c).isNotNull())
-        df = resolve_party(df, src.xref, xref_type, sor_fn())
-        return _xref_rows(df, sor_value(), F.lit(out_type))
-    return derive
-
-
 def _customer_sor():
     return prehash_value(clean_string("cstmr_id_1"), clean_string("cstmr_id_2"))
 
 
-def _spec(name, table, xref_type, sor_fn, out_type, sor_value, required):
-    return LoadSpec(name, T.XREF, XREF_KEY,
-                    _person_loader(table, xref_type, sor_fn, out_type, sor_value, required),
-                    target_filter=_own_type_filter)
-
-
 def _derive_sponsor_master(src, as_of):
     s = src.sponsor.filter(active() & real_icu())
     pid = sponsor_party_id()
@@ -109,34 +93,8 @@ def _derive_sponsor_tax(src, as_of):
     )
 
 
-CUSTOMER_IDS = ("cstmr_id_1", "cstmr_id_2")
-
-XREF_LOADS = [
-    _spec("xref_participant_customer", "participant", PARTICIPANT_ID, participant_sor,
-          CUSTOMER_ID, _customer_sor, CUSTOMER_IDS),
-    _spec("xref_beneficiary_customer", "beneficiary", BENEFICIARY_ID, beneficiary_sor,
-          CUSTOMER_ID, _customer_sor, CUSTOMER_IDS),
-    _spec("xref_employee_customer", "employee", EMPLOYEE_ID, employee_sor,
-          CUSTOMER_ID, _customer_sor, CUSTOMER_IDS),
-    _spec("xref_participant_tax", "participant", PARTICIPANT_ID, participant_sor,
-          TAX_ID_PERSON, lambda: clean_string("prtcpnt_tax_id"), ("prtcpnt_tax_id",)),
-    _spec("xref_beneficiary_tax", "beneficiary", BENEFICIARY_ID, beneficiary_sor,
-          TAX_ID_PERSON, lambda: clean_string("bnfcry_tax_id"), ("bnfcry_tax_id",)),
-    _spec("xref_employee_tax", "employee", EMPLOYEE_ID, employee_sor,
-          TAX_ID_PERSON, lambda: clean_string("emply_tax_id"), ("emply_tax_id",)),
-    LoadSpec("xref_sponsor_master", T.XREF, XREF_KEY, _derive_sponsor_master,
-             target_filter=_own_type_filter),
-    LoadSpec("xref_sponsor_tax", T.XREF, XREF_KEY, _derive_sponsor_tax,
-             target_filter=_own_type_filter),
-]
-
-# Loads that write the same id type interact (a later one is compared with
-# the rows of an earlier one); different id types never share a key.
-XREF_GROUPS = [XREF_LOADS[0:3], XREF_LOADS[3:6], XREF_LOADS[6:7], XREF_LOADS[7:8]]
-
-
-# -- the same loads in three rounds: each source is joined to the cross-reference
-#    once and emits the customer id and the tax id side by side.
+# -- three rounds: each source is joined to the cross-reference once and emits the
+#    customer id and the tax id side by side.
 
 def _person_ids(table, xref_type, sor_fn, tax_col):
     def derive(src, as_of):
@@ -155,7 +113,7 @@ def _round(name, derive):
 
 XREF_ROUNDS = [
     [_round("xref_participant", _person_ids("participant", PARTICIPANT_ID, participant_sor, "prtcpnt_tax_id")),
-     *XREF_LOADS[6:8]],
+     _round("xref_sponsor_master", _derive_sponsor_master), _round("xref_sponsor_tax", _derive_sponsor_tax)],
     [_round("xref_beneficiary", _person_ids("beneficiary", BENEFICIARY_ID, beneficiary_sor, "bnfcry_tax_id"))],
     [_round("xref_employee", _person_ids("employee", EMPLOYEE_ID, employee_sor, "emply_tax_id"))],
 ]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import loads, ops
+from . import loads, ops, stored
 
 ORACLES = {
     name: getattr(loads, name) for name in (
@@ -15,3 +15,4 @@ ORACLES = {
     )
 }
 ORACLES.update(ops.OPS)
+ORACLES.update(stored.STORED)

@@ -24,11 +24,6 @@ def test_audit_close_updates_latest_open_row_only(spark, src):
     assert changed[0].batch_end_dtm == dt.datetime(2001, 1, 1)
 
 
-def test_catalog_columns_skip_identity(src):
-    cols = control.catalog_columns(src.batches)
-    assert cols[0] == "batch_name" and "audit_id" not in cols
-
-
 def test_steps_count_valid_and_single(spark, src):
     s = src.steps
     total = control.step_count(s, " trac", "dim_party").collect()[0].step_count

@@ -32,7 +32,7 @@ SPECS = {
     "account": ([account.LOAD_ACCOUNT], account.ACCOUNT_KEY),
     "address": (address.ADDRESS_LOADS, address.ADDRESS_KEY),
     "agreement": (agreement.AGREEMENT_LOADS, agreement.AGREEMENT_KEY),
-    "xref_customer": (xref.XREF_GROUPS[0], xref.XREF_KEY),
+    "xref": ([r[0] for r in xref.XREF_ROUNDS], xref.XREF_KEY),
     "phone": ([contact.LOAD_PARTY_PHONE], contact.PARTY_PHONE_KEY),
 }
 

@@ -160,7 +160,6 @@ def q_step_log_resume(spark, sf):
     src = load_sources(spark, sf)
     spark.read.parquet(f"{sf}/supplier.parquet").createOrReplaceTempView("supplier")
     log = batch.log_table(spark)
-    work = scratch_table(spark, "work", struct_type([("transformation_seq", "int"), ("n", "bigint")]))
     audit = batch.audit_table(spark, src.batches)
     valid = batch.control.valid_steps(src.steps, "TRAC", "DIM_PLAN", AS_OF)
     last = valid.agg(F.max("step_index").alias("m")).first()["m"]
@@ -169,16 +168,16 @@ def q_step_log_resume(spark, sf):
         "sql_statement", F.when(F.col("seq").isNotNull(), F.lit("select n from a_table_that_is_missing"))
         .otherwise(F.col("sql_statement"))).drop("seq")
 
-    def execute(seq: int, result: DataFrame) -> None:
-        append_by_name(result.select(F.lit(seq).alias("transformation_seq"), "n"), work)
+    def execute(seq: int, result: DataFrame) -> str:
+        return str(result.first().n)
 
     args = ("TRAC", "DIM_PLAN", AS_OF, log, "plan_load", execute, audit)
     try:
         batch.run_logged(spark, first, *args)
         raise AssertionError("the broken step did not fail")
     except batch.StepFailed:
-        batch.run_logged(spark, src.steps, *args, analyze=work)
+        batch.run_logged(spark, src.steps, *args, analyze=log)
     done = F.col("status") == batch.DONE
-    results = spark.table(work).select(F.col("transformation_seq").alias("seq"), "n")
-    return (spark.table(log).join(results, done & (F.col("transformation_seq") == F.col("seq")), "left")
-            .select("transformation_seq", "attempt", "status", "n", F.col("message").isNotNull().alias("has_message")))
+    return spark.table(log).select(
+        "transformation_seq", "attempt", "status", F.when(done, F.col("message")).cast("long").alias("n"),
+        (~done & F.col("message").isNotNull()).alias("has_message"))

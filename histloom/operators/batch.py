@@ -72,7 +72,7 @@ class StepFailed(RuntimeError):
 
 
 def run_logged(spark: SparkSession, steps: DataFrame, source_cd: str, work_table: str, today, log: str, run_id: str,
-               execute: Callable[[int, DataFrame], None], audit: str | None = None, scheduler: str = "cron",
+               execute: Callable[[int, DataFrame], str | None], audit: str | None = None, scheduler: str = "cron",
                analyze: str | None = None) -> list[int]:
     """Run the valid steps in order, one log row each (status, start, end, message).
 
@@ -80,8 +80,8 @@ def run_logged(spark: SparkSession, steps: DataFrame, source_cd: str, work_table
     ``run_id`` run again goes on behind the steps that are logged as done.  With
     ``audit`` each run opens a row of the batch ``run_id`` there and closes it with
     the outcome; ``analyze`` names a table whose statistics are refreshed at the end.
-    ``execute`` takes a step's number and the DataFrame of its statement.  Returns
-    the numbers of the steps that ran.  Only one work table's step texts and log
+    ``execute`` takes a step's number and the DataFrame of its statement, and may
+    return a text for the log.  Returns the numbers of the steps that ran.  Only one work table's step texts and log
     rows reach the driver."""
     past = spark.table(log).where((F.col("run_id") == run_id) & F.lower("work_table").eqNullSafe(work_table.strip().lower()))
     known = past.groupBy("transformation_seq").agg(
@@ -94,15 +94,17 @@ def run_logged(spark: SparkSession, steps: DataFrame, source_cd: str, work_table
         open_stored(spark, audit, run_id, scheduler, "I")
     ran = []
     for r in todo:
-        seq, start, message = int(r.transformation_seq), _now(), None
-        error = None
+        seq, start, message, error = int(r.transformation_seq), _now(), None, None
         try:
-            execute(seq, spark.sql(r.sql_statement))
+            message = execute(seq, spark.sql(r.sql_statement))
         except Exception as e:  # whatever a step raises belongs in the log
             error, message = e, f"{type(e).__name__}: {e}"[:1000]
-        row = (run_id, source_cd.strip(), work_table.strip(), seq, attempts.get(seq, 0) + 1, FAILED if error else DONE,
-               start, _now(), message)
-        append_by_name(spark.createDataFrame([row], LOG).coalesce(1), log)
+        spark.sql(f"INSERT INTO {log} (run_id, source_cd, work_table, transformation_seq, attempt, status, start_dtm, "
+                  "end_dtm, message) VALUES (:run, :source, :work, :seq, :attempt, :status, "
+                  "CAST(:start AS TIMESTAMP_NTZ), CAST(:end AS TIMESTAMP_NTZ), CAST(:message AS STRING))",
+                  {"run": run_id, "source": source_cd.strip(), "work": work_table.strip(), "seq": seq,
+                   "attempt": attempts.get(seq, 0) + 1, "status": FAILED if error else DONE,
+                   "start": start, "end": _now(), "message": message})
         if error:
             if audit:
                 close_stored(spark, audit, run_id, FAILED)
@@ -115,5 +117,5 @@ def run_logged(spark: SparkSession, steps: DataFrame, source_cd: str, work_table
     return ran
 
 
-def _now() -> _dt.datetime:
-    return _dt.datetime.now()
+def _now() -> str:
+    return _dt.datetime.now().isoformat(sep=" ")

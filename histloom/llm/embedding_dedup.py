@@ -1,11 +1,20 @@
 """Embedding near-duplicates by sorted projection passes.
 
 Each pass gives every vector a code, the concatenated signs of random
-projections, and orders the vectors of a label lexicographically by code.
-Vectors within ``window`` places are compared by exact cosine; the verified
-pairs of all passes are united.  Then links are counted exactly: within a
-component all pairs are compared, in tiles of bounded size, so a window never
-caps a vector's links.
+projections of its direction less its label's mean, and orders the vectors of a
+label lexicographically by code.  Vectors within ``window`` places are compared by
+exact cosine; the verified pairs of all passes are united.  Then links are
+counted exactly: within a component all pairs are compared, in tiles of bounded
+size, so a window never caps a vector's links.
+
+How many passes a label takes follows from its number of vectors and from how much
+they share a direction.  A linked vector lies at most ``asin(d / r)`` away, seen from
+the mean (d: distance of directions at the least cosine, r: the vector's own from
+the mean), so a bit agrees with probability ``a = 1 - asin(d / r) / pi`` at least.  In
+a pass where ``b`` bits tell a vector from those beyond its window, it meets a linked
+one with probability ``a**b``; b is measured in every pass.  Vectors that would by
+this be missed with more than ``MISS`` are compared with all of their label, in
+tiles of bounded size: the exact way for what windows cannot reach.
 
 Equal vectors of a label are one class and are handled once.  The rank of a
 vector in a pass comes from ranges and their counts, and windows run over
@@ -13,26 +22,45 @@ blocks of ranks, so no label or code, however frequent, makes a task grow."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.io import cut_lineage
-from .common import map_texts
 from .components import connected_components
 from .sharding import assign_slots
 
-PASSES, WINDOW = 12, 32
+#: Passes of a label at most, places of a window, and how likely a link may be missed
+#: before its vector is compared with all others.
+MAX_PASSES, WINDOW, MISS = 48, 32, 0.002
 #: Projections concatenated to a code, ranks per block, vectors per tile.
 CODE_BITS, BLOCK, TILE = 48, 2048, 1024
 #: Fixed value: least cosine of a link.
 COSINE = 0.98
 
 
+def agreement(radius: np.ndarray, cosine: float) -> np.ndarray:
+    """Least probability that a random projection has one sign for two linked
+    directions, one of which lies ``radius`` from the mean."""
+    reach = np.sqrt(2 - 2 * cosine) / np.maximum(radius, 1e-12)
+    return np.where(reach < 1, 1 - np.arcsin(np.minimum(reach, 1)) / np.pi, 0.0)
+
+
+def passes_needed(n: int, spread: float, cosine: float, window: int, max_passes: int) -> int:
+    """Passes for a label of ``n`` vectors with mean square distance ``spread`` from the
+    mean; 0 if ``max_passes`` would not do."""
+    if n <= window + 1:
+        return 1                       # all of them lie within one window
+    found = float(agreement(np.sqrt(max(spread, 0.0)), cosine)) ** (np.log2(n / window) + 2)
+    if found >= 1:
+        return 1
+    passes = int(np.ceil(np.log(MISS) / np.log1p(-found))) if found > 1e-9 else max_passes + 1
+    return passes if passes <= max_passes else 0
+
+
 def projections(dim: int, passes: int, seed: int) -> np.ndarray:
     return np.random.default_rng([seed, dim]).standard_normal((dim, passes * CODE_BITS))
 
@@ -57,17 +85,68 @@ def cosines(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return (x * y).sum(axis=1) / np.sqrt((x * x).sum(axis=1) * (y * y).sum(axis=1))
 
 
+def forest(names: np.ndarray, pairs: list[tuple[int, int]]) -> pd.DataFrame:
+    """As few of the links ``pairs`` (places in ``names``) as join what all of them join."""
+    parent = list(range(len(names)))
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+    kept = []
+    for x, y in pairs:
+        p, q = root(x), root(y)
+        if p != q:
+            parent[p] = q
+            kept.append((names[x], names[y]))
+    return pd.DataFrame(kept, columns=["a", "b"])
+
+
 def window_links(block: pd.DataFrame, window: int, block_size: int, cosine: float) -> pd.DataFrame:
-    """Links (a, b) between the block's own rows and the ``window`` next ones."""
+    """(a, b, miss): a forest of the links between the block's own rows and the
+    ``window`` next ones, and per own row (a, null) the logarithm of the estimated
+    probability that a linked vector lies beyond its window."""
     block = block.sort_values("slot")
-    own = int(((block["slot"] // block_size) == block["block"]).sum())
+    place = (block["slot"] // block_size).to_numpy()
+    own = np.flatnonzero(place == block["block"].to_numpy())
     x, names, labels = _unit(block["embedding"]), block["cid"].to_numpy(), block["part"].to_numpy()
-    found = []
-    for step in range(1, min(window, len(block) - 1) + 1):
-        n = min(own, len(block) - step)
-        near = (cosines(x[:n], x[step:step + n]) >= cosine) & (labels[:n] == labels[step:step + n])
-        found += [(names[i], names[i + step]) for i in np.flatnonzero(near)]
-    return pd.DataFrame(found, columns=["a", "b"])
+    code, slot = block["code"].to_numpy(), block["slot"].to_numpy()
+    pairs: list[tuple[int, int]] = []
+    for step in range(1, window + 1):
+        i = own[own + step < len(block)]
+        near = (cosines(x[i], x[i + step]) >= cosine) & (labels[i] == labels[i + step])
+        pairs += [(k, k + step) for k in i[near].tolist()]
+    # bits that tell a row from the first ones beyond its window, on either side (0: none there)
+    bits = np.zeros(len(own), np.int64)
+    for shift in (window + 1, -window - 1):
+        j = own + shift
+        inside = (j >= 0) & (j < len(block))
+        i, j = own[inside], j[inside]
+        same = labels[i] == labels[j]
+        shared = CODE_BITS - np.frexp((code[i] ^ code[j]).astype(float))[1]
+        bits[inside] = np.maximum(bits[inside], np.where(same, np.minimum(shared + 1, CODE_BITS), 0))
+    found = np.minimum(block["agree"].to_numpy()[own] ** bits, 1 - 1e-12)
+    out = forest(names, pairs)
+    out["miss"] = np.nan
+    return pd.concat([out, pd.DataFrame({"a": names[own], "b": None, "miss": np.log1p(-found)})])
+
+
+def rest_links(group: pd.DataFrame, cosine: float) -> pd.DataFrame:
+    """A forest of the links between a tile of left-over vectors and one of all."""
+    x = _unit(group["embedding"])
+    x = x / np.sqrt((x * x).sum(axis=1))[:, None]
+    names, first = group["cid"].to_numpy(), np.flatnonzero(group["side"].to_numpy() == 0)
+    second = np.flatnonzero(group["side"].to_numpy() == 1)
+    near = x[first] @ x[second].T >= cosine - 1e-9
+    i, j = first[np.nonzero(near)[0]], second[np.nonzero(near)[1]]
+    exact = (names[i] != names[j]) & (cosines(x[i], x[j]) >= cosine)
+    return forest(*_numbered(names, i[exact], j[exact]))
+
+
+def _numbered(names: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """The distinct names and the pairs as places among them (a vector may be in both tiles)."""
+    known, at = np.unique(names, return_inverse=True)
+    return known, list(zip(at[i].tolist(), at[j].tolist()))
 
 
 def tile_links(tile: pd.DataFrame, cosine: float) -> pd.DataFrame:
@@ -88,8 +167,8 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & F.coalesce(fine, F.lit(False)) & F.exists(vector, lambda x: x != 0)
 
 
-def near_vectors(vectors: DataFrame, cosine: float = COSINE, passes: int = PASSES, window: int = WINDOW,
-                 seed: int = 1) -> DataFrame:
+def near_vectors(vectors: DataFrame, cosine: float = COSINE, window: int = WINDOW, seed: int = 1,
+                 max_passes: int = MAX_PASSES) -> DataFrame:
     """Per row of ``vectors`` (vec_id, embedding, label): vec_id, n_links (other
     vectors linked directly), component_id (smallest vec_id reached by links,
     its own included), kept (vec_id = component_id).
@@ -97,7 +176,7 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, passes: int = PASSE
     Only vectors of the same non-null label and dimension are compared.  Null,
     zero or non-finite vectors and those without a label have no links and are
     alone.  Repeated rows are vectors of their own.  A null vec_id counts as
-    larger than any.  Only the three columns are read."""
+    larger than any.  An empty table gives no rows.  Only the three columns are read."""
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"),
                           F.col("embedding").cast("array<float>").alias("embedding"), "label")
     part = F.concat_ws(":", F.col("label").cast("string"), F.size("embedding").cast("string"))
@@ -107,7 +186,7 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, passes: int = PASSE
         F.first(part).alias("part"), F.first("embedding").alias("embedding"),
         F.count(F.lit(1)).alias("size"), F.min("vec_id").alias("least_id")))
 
-    found = connected_components(cut_lineage(_pass_links(classes, cosine, passes, window, seed)))
+    found = connected_components(cut_lineage(_found_links(classes, cosine, window, seed, max_passes)))
     classes = cut_lineage(classes.join(found, classes["cid"] == found["node"], "left")
                           .withColumn("component", F.coalesce("component", "cid")).drop("node"))
     counts = _link_counts(classes, cosine)
@@ -121,35 +200,100 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, passes: int = PASSE
             .withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id"))))
 
 
-def _pass_links(classes: DataFrame, cosine: float, passes: int, window: int, seed: int) -> DataFrame:
-    def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
-        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            frame = batch.to_pandas()
-            out = np.empty((len(frame), passes), np.int64)
-            dims = frame["embedding"].map(len).to_numpy()
-            for dim in np.unique(dims):
-                at = np.flatnonzero(dims == dim)
-                for a in range(0, len(at), 1024):
-                    some = at[a:a + 1024]
-                    out[some] = codes(_unit(frame["embedding"].iloc[some]), passes, seed)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, out.size + 1, passes, dtype=np.int32)),
-                                             pa.array(out.ravel()))
-            return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists],
-                                              names=["cid", "part", "codes"])
-        return step
-    coded = map_texts(classes, ["cid", "part", "embedding"], "cid string, part string, codes array<long>", make)
-    ranked = assign_slots(coded.select("cid", "part", F.posexplode("codes").alias("pass", "code")),
+def part_means(classes: DataFrame, window: int) -> DataFrame:
+    """(part, n, mean): of each label with more vectors than a window, how many and
+    the mean of their directions.  A task adds up its own rows first."""
+    sizes = classes.groupBy("part").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > window + 1)
+
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found: dict[str, tuple[int, np.ndarray]] = {}
+        for batch in batches:
+            for part, rows in batch.groupby("part"):
+                x = _unit(rows["embedding"])
+                n, total = found.get(part, (0, 0.0))
+                found[part] = n + len(x), total + (x / np.sqrt((x * x).sum(axis=1))[:, None]).sum(axis=0)
+            if len(found) > 1000:
+                yield _sums(found)
+                found = {}
+        yield _sums(found)
+
+    def mean(rows: pd.DataFrame) -> pd.DataFrame:
+        n = int(rows["n"].sum())
+        return pd.DataFrame({"part": rows["part"].iloc[:1], "n": [n], "mean": [np.sum(rows["total"].tolist(), axis=0) / n]})
+    return (classes.join(sizes.select("part"), "part", "left_semi").select("part", "embedding")
+            .mapInPandas(sums, "part string, n long, total array<double>")
+            .groupBy("part").applyInPandas(mean, "part string, n long, mean array<double>"))
+
+
+def _sums(found: dict[str, tuple[int, np.ndarray]]) -> pd.DataFrame:
+    return pd.DataFrame([(part, n, total) for part, (n, total) in found.items()], columns=["part", "n", "total"])
+
+
+def _coded(classes: DataFrame, means: DataFrame, cosine: float, window: int, seed: int, max_passes: int) -> DataFrame:
+    """cid, part, codes (one per pass of its label; empty if passes would not do) and
+    agree (the least probability that a bit of a linked vector agrees)."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            batch = batch.reset_index(drop=True)
+            out, agree = [None] * len(batch), np.ones(len(batch))
+            for _, rows in batch.groupby("part"):
+                n, mean = rows["n"].iloc[0], rows["mean"].iloc[0]
+                for a in range(0, len(rows), 1024):
+                    some = rows.iloc[a:a + 1024]
+                    at = some.index.to_numpy()
+                    if mean is None:                       # the label fits a window
+                        got = np.zeros((len(some), 1), np.int64)
+                    else:
+                        x = _unit(some["embedding"])
+                        x = x / np.sqrt((x * x).sum(axis=1))[:, None] - mean
+                        agree[at] = agreement(np.sqrt((x * x).sum(axis=1)), cosine)
+                        passes = passes_needed(int(n), 1 - float(mean @ mean), cosine, window, max_passes)
+                        got = codes(x, passes, seed) if passes else np.zeros((len(some), 0), np.int64)
+                    for i, c in zip(at.tolist(), got):
+                        out[i] = c
+            yield pd.DataFrame({"cid": batch["cid"], "part": batch["part"], "codes": out, "agree": agree})
+    return classes.select("cid", "part", "embedding").join(means, "part", "left").mapInPandas(
+        run, "cid string, part string, codes array<long>, agree double")
+
+
+def _found_links(classes: DataFrame, cosine: float, window: int, seed: int, max_passes: int) -> DataFrame:
+    """Verified links (a, b) that join all that is linked: those of the passes, and
+    those of the vectors that passes are likely to miss."""
+    coded = cut_lineage(_coded(classes, part_means(classes, window), cosine, window, seed, max_passes))
+    ranked = assign_slots(coded.select("cid", "part", "agree", F.posexplode("codes").alias("pass", "code")),
                           "pass", ["pass", "part", "code", "cid"], "slot")
-    own = F.floor(F.col("slot") / BLOCK)
-    blocks = (ranked.withColumn("block", F.explode(F.when(
-                  (F.col("slot") % BLOCK < window) & (F.col("slot") >= BLOCK), F.array(own, own - 1))
-                  .otherwise(F.array(own))))
-              .select("pass", "block", "slot", "cid", "part")
+    own, place = F.floor(F.col("slot") / BLOCK), F.col("slot") % BLOCK
+    near = F.filter(F.array(own, F.when((place <= window) & (own > 0), own - 1), F.when(place >= BLOCK - window - 1, own + 1)),
+                    lambda b: b.isNotNull())
+    blocks = (ranked.withColumn("block", F.explode(near))
+              .select("pass", "block", "slot", "cid", "part", "code", "agree")
               .join(classes.select("cid", "embedding"), "cid"))
 
     def links(block: pd.DataFrame) -> pd.DataFrame:
         return window_links(block, window, BLOCK, cosine)
-    return blocks.groupBy("pass", "block").applyInPandas(links, "a string, b string").distinct()
+    got = cut_lineage(blocks.groupBy("pass", "block").applyInPandas(links, "a string, b string, miss double"))
+    sure = (got.where("b IS NULL").groupBy(F.col("a").alias("cid")).agg(F.sum("miss").alias("miss"))
+            .where(F.col("miss") <= float(np.log(MISS))))
+    rest = classes.join(sure, "cid", "left_anti").select("cid", "part", "embedding")
+    return got.where("b IS NOT NULL").select("a", "b").unionByName(_rest(classes, rest, cosine))
+
+
+def _rest(classes: DataFrame, rest: DataFrame, cosine: float) -> DataFrame:
+    """Links between ``rest`` and all vectors of the same label, tile by tile."""
+    def tiles(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias(name))
+    sizes = tiles(rest, "rows").join(tiles(classes, "columns"), "part")
+
+    def side(df: DataFrame, mine: str, other: str, number: int) -> DataFrame:
+        own = F.pmod(F.xxhash64("cid", F.lit(5 + number)), F.col(mine)).cast("int")
+        at = [own.alias(mine[0]), F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(other[0])]
+        return (df.select("cid", "part", "embedding").join(sizes, "part")
+                .select("part", "cid", "embedding", F.lit(number).alias("side"), *at))
+    both = side(rest, "rows", "columns", 0).unionByName(side(classes, "columns", "rows", 1))
+
+    def links(group: pd.DataFrame) -> pd.DataFrame:
+        return rest_links(group, cosine)
+    return both.groupBy("part", "r", "c").applyInPandas(links, "a string, b string")
 
 
 def _link_counts(classes: DataFrame, cosine: float) -> DataFrame:

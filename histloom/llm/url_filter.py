@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 #: Characters a token is made of (in host and path alike).
 _TOKEN = re.compile(r"[A-Za-z0-9]+")
 _NOT_TOKEN = "[^A-Za-z0-9]+"
-#: Separates host and path in the matched subject; occurs in neither.
-_SEP = "\n"
+#: Separates host and path in the matched subject; it ends a url's path, so it occurs in neither.
+_SEP = "?"
 
 
 @dataclass(frozen=True)
@@ -33,7 +33,7 @@ class UrlRule:
         return self.host + self.path
 
     def pattern(self) -> str:
-        return rf"^(?:[^\n]*\.)?{_quote(self.host)}\n{_quote(self.path)}"
+        return rf"^(?:[^?]*\.)?{_quote(self.host)}\?{_quote(self.path)}"
 
     def tokens(self) -> list[str]:
         """Tokens that every matching URL has whole: the host's, and those of
@@ -54,7 +54,7 @@ class HostWordRule:
         return self.word
 
     def pattern(self) -> str:
-        return rf"^(?:[^\n]*[.-])?{_quote(self.word)}(?:[.-][^\n]*)?\n"
+        return rf"^(?:[^?]*[.-])?{_quote(self.word)}(?:[.-][^?]*)?\?"
 
     def tokens(self) -> list[str]:
         return _TOKEN.findall(self.word)

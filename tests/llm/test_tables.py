@@ -51,11 +51,12 @@ def test_urls(spark):
     urls = [None, "", "no scheme/en/", "http://net", "http://NET/", "https://a.Example.NET/en/x?q=/de/#f",
             "http://notexample.net/en/", "http://example.com/de/1", "http://xexample.com/de/1", "http://a.org/fr/",
             "http://a.org/fr", "http://my-casino.example.org/en/", "http://casinos.org/", "x://y://net/z",
-            "http://example.com/de", "http://example.net?x=/en/"]
+            "http://example.com/de", "http://example.net?x=/en/", "http://a\nb.net/x", "http://my-casino\n.de/\n/"]
     pages = spark.createDataFrame([(i % 5, u, "h") for i, u in enumerate(urls)], "page_id long, url string, rule string")
     got = {(r.host, r.path): (r.rule, r.verdict) for r in url_filter.judge_urls(pages).collect()}
     assert url_filter.judge_urls(pages).count() == len(urls)
     assert got == {
+        ("a\nb.net", "/x"): ("net/", "block"), ("my-casino\n.de", "/\n/"): (None, "allow"),
         ("", ""): (None, "allow"), ("net", ""): (None, "allow"), ("net", "/"): ("net/", "block"),
         ("a.example.net", "/en/x"): ("example.net/en/", "allow"), ("notexample.net", "/en/"): ("net/", "block"),
         ("example.com", "/de/1"): ("example.com/de/", "block"), ("xexample.com", "/de/1"): (None, "allow"),

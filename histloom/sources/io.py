@@ -91,7 +91,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def overwrite(df: DataFrame, path: str) -> None:
     """Truncate-and-reload sink."""
     df.write.mode("overwrite").parquet(path)
-
-
-def append(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)

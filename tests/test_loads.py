@@ -62,7 +62,8 @@ def test_reload_against_own_output(spark, src, name):
 
 
 def test_unchanged_third_batch_updates_nothing(spark):
-    for name in ("load_party_incremental", "load_account_incremental"):
+    for name in ("load_party_incremental", "load_account_incremental", "load_agreement_incremental",
+                 "load_address_incremental"):
         out = catalog.QUERIES[name](spark, "/root/testdata/sf0.001")
         current = {r.batch_no: r["count"] for r in out.filter("current_row_ind").groupBy("batch_no").count().collect()}
         assert current.get(2, 0) > 0 and 3 not in current, (name, current)

@@ -7,14 +7,15 @@ copy and the place of the word in the text: the same inputs give the same ids on
 any executor and retry, another seed, document, copy or place other ids.  Any
 segmentation decodes to the same text.
 
-What a word becomes depends on its coins alone, so the runs seen so far are kept
-as a tree by skipped candidates: a memo of what coins lead to, never of coins."""
+The agendas of many words are worked off side by side as arrays, one candidate of each
+at a time; a word that needs more coins than were dealt, or is very long, is run by itself."""
 
 from __future__ import annotations
 
 import math
 import struct
 from array import array
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
 from heapq import heapify, heappop, heappush
 from itertools import chain, count, repeat
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_texts
-from .pieces import DEFAULT_MODEL, MARK, Memo, Vocabulary, load_vocabulary, pre_tokens
+from .pieces import DEFAULT_MODEL, MARK, Vocabulary, load_vocabulary, pre_tokens
 
 #: Stretches up to this length keep their agenda in a list, longer ones in a heap.
 SHORT = 24
@@ -34,7 +35,11 @@ _COINS = struct.Struct("<8H")
 #: Coins dealt to every word at once (further ones come from a keyed hash), and
 #: words dealt to at a time.
 WIDTH, DEALT = 32, 4096
-_MORE = 1 << WIDTH
+#: Lengths up to which words are run side by side (longer ones one by one), words in
+#: one such block, and words looked at together.
+LENGTHS, BLOCK, AT_ONCE = (4, 6, 8, 10, 12, 16, 24, 64), 1 << 15, 1 << 17
+#: The order of a merge that does not exist.
+NEVER = np.iinfo(np.int32).max
 
 
 def coins(stretch: str, salt: int, dropout: float) -> Iterator[bool]:
@@ -123,107 +128,226 @@ def segment(stretch: str, vocab: Vocabulary, skip: Iterator[bool]) -> list[int]:
 
 
 def segment_word(word: str, vocab: Vocabulary, skip: Iterator[bool]) -> bytes:
-    """Ids of a pre-token as int32 bytes; its stretches take their coins in turn."""
-    out = array("i")
+    """Ids of a pre-token as int32 bytes."""
     if word == MARK:                           # a literal mark is no space: its bytes
-        out.extend(vocab.bytes_of(word))
-    else:
-        for stretch in vocab.stretches(word.replace(" ", MARK)):
-            out.extend(segment(stretch, vocab, skip))
-    return out.tobytes()
+        return array("i", vocab.bytes_of(word)).tobytes()
+    return array("i", segment(word.replace(" ", MARK), vocab, skip)).tobytes()
 
 
-def dealt(key: bytes, n: int, dropout: float) -> Iterator[list[int]]:
-    """The first ``WIDTH`` coins of each of ``n`` words, ``DEALT`` words at a time:
-    bit i is set if candidate i is skipped.  Bit ``WIDTH`` is always set."""
+def dealt(key: bytes, n: int, dropout: float) -> Iterator[np.ndarray]:
+    """The first ``WIDTH`` coins of each of ``n`` words as a mask, ``DEALT`` words at
+    a time: bit i is set if candidate i is skipped."""
     raw = np.random.Philox(key=np.frombuffer(key, np.uint64)).random_raw
     bar = round(dropout * 65536)
     for start in range(0, n, DEALT):
         size = min(DEALT, n - start)
         if bar <= 0:
-            yield [_MORE] * size
+            yield np.zeros(size, np.int64)
             continue
         bits = raw(size * WIDTH // 4).astype("<u8", copy=False).view("<u2").reshape(size, WIDTH) < bar
-        masks = np.packbits(bits, axis=1, bitorder="little").view("<u4").ravel()
-        yield (masks.astype(np.int64) | _MORE).tolist()
+        yield np.packbits(bits, axis=1, bitorder="little").view("<u4").ravel().astype(np.int64)
 
 
 def all_coins(mask: int, key: bytes, word: str, place: int, dropout: float) -> Iterator[bool]:
     """The coins of one word: those of ``mask``, then a keyed stream."""
     salt = xxhash.xxh3_64_intdigest(key, place)
+    mask = int(mask)
     return chain((bool(mask >> i & 1) for i in range(WIDTH)), coins(word, salt, dropout))
 
 
-def encoder(vocab: Vocabulary, seed: int, variant: int, dropout: float,
-            memo_size: int) -> Callable[..., bytes]:
-    """(text, doc_id, copy) to the ids of the text as int32 bytes.
-
-    The memo holds, per word, a tree of the runs seen.  A node is [coins it looks
-    at after its last skip, as a mask; ids if none of them skips; nodes by the
-    next skip]."""
-    def node(word: str, skips: tuple[int, ...]) -> list:
-        used = 0
-
-        def script() -> Iterator[bool]:
-            nonlocal used
-            for bit in count():
-                used = bit + 1
-                yield bit < WIDTH and 1 << bit in skips
-        ids = segment_word(word, vocab, script())
-        looks = (1 << min(used, WIDTH + 1)) - 1
-        return [looks & -(skips[-1] << 1) if skips else looks, ids, None]
-    memo = Memo(lambda word: node(word, ()), memo_size)
-    get, longest, stored = memo.__getitem__, memo.longest, 0
-
-    def follow(at: list, word: str, mask: int, key: bytes, place: int) -> bytes:
-        nonlocal stored
-        skips: tuple[int, ...] = ()
-        while rest := mask & at[0]:
-            skip = rest & -rest
-            if skip == _MORE:                  # the run needs more coins than were dealt
-                return segment_word(word, vocab, all_coins(mask, key, word, place, dropout))
-            skips += (skip,)
-            if at[2] is None:
-                at[2] = {}
-            known = at[2].get(skip)
-            if known is None:
-                known = at[2][skip] = node(word, skips)
-                stored += 1
-            at = known
-        if stored >= memo_size:
-            memo.clear()
-            memo.old, stored = {}, 0
-        return at[1]
-
-    def encode(text: str, doc_id: int | None = None, copy: int = 0) -> bytes:
-        words = pre_tokens(text)
-        name = f"{seed}:{variant}:{doc_id}:{copy}:{text if doc_id is None else ''}"
-        key = xxhash.xxh3_128_digest(name.encode())
-        out: list[bytes] = []
-        add = out.append
-        for masks in dealt(key, len(words), dropout):
-            start = len(out)
-            for word, mask in zip(words[start:start + DEALT], masks):
-                if len(word) > longest:
-                    add(segment_word(word, vocab, all_coins(mask, key, word, len(out), dropout)))
-                    continue
-                at = get(word)
-                add(follow(at, word, mask, key, len(out)) if mask & at[0] else at[1])
-        return b"".join(out)
-    return encode
-
-
-_KEPT: dict[tuple, Callable[..., bytes]] = {}
-
-
-def kept_encoder(model: str, vocab: Vocabulary, seed: int, dropout: float, memo_size: int) -> Callable[..., bytes]:
-    """A worker process keeps the last encoder, so that its next task finds the
-    memo of words filled; this never changes a result."""
-    settings = (model, len(vocab.ids), seed, dropout, memo_size)
-    if settings not in _KEPT:
-        _KEPT.clear()
-        _KEPT[settings] = encoder(vocab, seed, 0, dropout, memo_size)
-    return _KEPT[settings]
+class Merges:
+    """Every pair of pieces that merges, as sorted arrays.  A symbol is the id of a
+    piece; a character that is no piece is ``base`` plus its code point plus 1; ``base``
+    itself stands beside the ends of a word."""
+
+    def __init__(self, vocab: Vocabulary):
+        ids, scores = vocab.ids, vocab.scores
+        self.base = max(ids.values(), default=0) + 1
+        self.span = self.base + 0x110001
+        order = {x: i for i, x in enumerate(sorted(set(scores.values()), reverse=True))}
+        found = sorted((ids[p[:i]] * self.span + ids[p[i:]], order[scores[p]], ids[p])
+                       for p in scores for i in range(1, len(p)) if p[:i] in ids and p[i:] in ids)
+        table = np.array(found + [(np.iinfo(np.int64).max, NEVER, 0)], np.int64)
+        self.keys = table[:, 0].copy()
+        self.orders, self.merged = table[:, 1].astype(np.int32), table[:, 2].copy()
+        self.symbols = np.arange(0x110000, dtype=np.int64) + self.base + 1
+        for p, i in ids.items():
+            if len(p) == 1 and p != MARK:
+                self.symbols[ord(p)] = i
+        if MARK in ids:                        # spaces are marks; a literal mark stays a character
+            self.symbols[ord(" ")] = ids[MARK]
+        else:
+            self.symbols[ord(" ")] = self.symbols[ord(MARK)]
+        if any(c not in ids for p in ids for c in p):
+            raise ValueError("a piece holds a character that is no piece itself")
+        self.bytes = np.array(vocab.byte_ids, np.int32)
+
+    def look(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(order of the merge, NEVER if there is none; the piece it makes)."""
+        key = left * self.span + right
+        at = np.searchsorted(self.keys, key)
+        return np.where(self.keys[at] == key, self.orders[at], NEVER), self.merged[at]
+
+    def ids_of(self, symbols: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of rows of symbols, with the characters that are no pieces as bytes."""
+        strange = np.flatnonzero(symbols >= self.base)
+        if not len(strange):
+            return symbols.astype(np.int32), counts
+        chars = [chr(c).encode() for c in (symbols[strange] - self.base - 1).tolist()]
+        sizes = np.ones(len(symbols), np.int64)
+        sizes[strange] = [len(c) for c in chars]
+        out = np.repeat(symbols, sizes)
+        out[out >= self.base] = self.bytes[np.frombuffer(b"".join(chars), np.uint8)]
+        ends = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(counts)])]
+        return out.astype(np.int32), np.diff(ends)
+
+
+def run_agendas(first: np.ndarray, sizes: np.ndarray, masks: np.ndarray,
+                merges: Merges) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The agendas of many words side by side, one candidate of each at a time.
+
+    ``first`` has a word's symbols per row, from column 1 on, with ``merges.base``
+    around them.  Returns the symbols left (row after row), their number per row and
+    the coins used per row: WIDTH + 1 where ``WIDTH`` coins were not enough."""
+    n, width = first.shape
+    symbols = first.ravel().copy()
+    after = np.arange(1, len(symbols) + 1)     # the next symbol still there, and the one before
+    before = np.arange(-1, len(symbols) - 1)
+    orders = np.full(len(symbols), NEVER, np.int32)
+    made = np.zeros(len(symbols), np.int64)
+    columns = np.arange(width)
+    there = ((columns >= 1) & (columns <= sizes[:, None])).ravel()
+    pairs = np.flatnonzero(there[:-1] & there[1:])
+    orders[pairs], made[pairs] = merges.look(symbols[pairs], symbols[pairs + 1])
+    used = np.zeros(n, np.int64)
+    table, rows = orders.reshape(n, width), np.arange(n)
+    for step in range(WIDTH + 1):
+        at = rows * width + table[rows].argmin(axis=1)
+        live = orders[at] != NEVER
+        rows, at = rows[live], at[live]
+        used[rows] = step + 1
+        if not len(rows) or step == WIDTH:
+            break
+        skip = (masks[rows] >> step & 1).astype(bool)
+        orders[at[skip]] = NEVER
+        left = at[~skip]
+        right = after[left]
+        end = after[right]
+        symbols[left] = made[left]
+        there[right], orders[right] = False, NEVER
+        after[left], before[end] = end, left
+        touched = np.concatenate([before[left], left])
+        orders[touched], made[touched] = merges.look(symbols[touched], symbols[np.concatenate([left, end])])
+    return symbols[there], there.reshape(n, width).sum(axis=1), used
+
+
+class Rows:
+    """Ids of rows that are found in any order: row i has the ``counts[i]`` ids from
+    ``starts[i]`` on in the joined parts."""
+
+    def __init__(self, n: int):
+        self.starts, self.counts = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        self.parts, self.size = [], 0
+
+    def put(self, rows: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
+        self.starts[rows], self.counts[rows] = self.size + np.cumsum(counts) - counts, counts
+        self.parts.append(ids)
+        self.size += len(ids)
+
+    def joined(self, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the rows ``order`` one after another, and their numbers."""
+        counts = self.counts[order]
+        at = np.repeat(self.starts[order] - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+        return np.concatenate([np.zeros(0, np.int32), *self.parts])[at], counts
+
+
+class encoder:
+    """(text, doc_id, copy) to the ids of the text as int32 bytes; ``many`` does a
+    list of them at once, at most ``at_once`` words at a time.
+
+    Of the words at hand each distinct one is run without skips first; occurrences
+    whose coins skip none of its candidates take that result, all others are run
+    with their own coins, side by side by length."""
+
+    def __init__(self, vocab: Vocabulary, seed: int, variant: int, dropout: float, at_once: int):
+        self.vocab, self.seed, self.variant = vocab, seed, variant
+        self.dropout, self.at_once, self.merges = dropout, at_once, Merges(vocab)
+
+    def __call__(self, text: str, doc_id: int | None = None, copy: int = 0) -> bytes:
+        return self.many([(text, doc_id, copy)])[0].tobytes()
+
+    def many(self, items: list[tuple[str, int | None, int]]) -> list[np.ndarray]:
+        out: list[np.ndarray] = []
+        words: list[str] = []
+        masks: list[np.ndarray] = []
+        keys: list[bytes] = []
+        ends = [0]
+        for i, (text, doc_id, copy) in enumerate(items):
+            mine = pre_tokens(text)
+            name = f"{self.seed}:{self.variant}:{doc_id}:{copy}:{text if doc_id is None else ''}"
+            keys.append(xxhash.xxh3_128_digest(name.encode()))
+            masks += dealt(keys[-1], len(mine), self.dropout)
+            words += mine
+            ends.append(len(words))
+            if len(words) >= self.at_once or i + 1 == len(items):
+                out += self._texts(words, np.concatenate([np.zeros(0, np.int64), *masks]), keys, ends)
+                words, masks, keys, ends = [], [], [], [0]
+        return out
+
+    def _texts(self, words: list[str], masks: np.ndarray, keys: list[bytes], ends: list[int]) -> list[np.ndarray]:
+        def slow(i: int, word: str, mask: int) -> bytes:
+            text = bisect_right(ends, i) - 1
+            return segment_word(word, self.vocab, all_coins(mask, keys[text], word, i - ends[text], self.dropout))
+        found = [self._slice(words[a:a + self.at_once], masks[a:a + self.at_once], a, slow)
+                 for a in range(0, len(words), self.at_once)]
+        ids = np.concatenate([np.zeros(0, np.int32), *[f[0] for f in found]])
+        sizes = np.concatenate([np.zeros(1, np.int64), *[f[1] for f in found]])
+        return np.split(ids, np.cumsum(sizes)[ends[1:-1]])
+
+    def _slice(self, words: list[str], masks: np.ndarray, offset: int,
+               slow: Callable[[int, str, int], bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words, and how many each has."""
+        numbers: dict[str, int] = {}
+        which = np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), np.int64, len(words))
+        distinct = list(numbers)
+        sizes = np.fromiter(map(len, distinct), np.int64, len(distinct))
+        codes = np.frombuffer("".join(distinct).encode("utf-32-le"), "<u4")
+        symbols = self.merges.symbols[codes]
+        starts = np.cumsum(sizes) - sizes
+        rows = Rows(len(distinct) + len(words))    # distinct words, then occurrences
+        every = np.arange(len(distinct))
+        looks = self._run(rows, every, every, np.zeros_like(every), symbols, starts, sizes)
+        chosen = which.copy()
+        own = np.flatnonzero(masks & looks[which] | looks[which] >> WIDTH)
+        chosen[own] = len(distinct) + own
+        short = own[looks[which[own]] >> WIDTH == 0]
+        more = self._run(rows, len(distinct) + short, which[short], masks[short], symbols, starts, sizes)
+        rest = np.concatenate([own[looks[which[own]] >> WIDTH != 0], short[more >> WIDTH != 0]])
+        for i in rest.tolist():                    # very long, or more coins than were dealt
+            ids = np.frombuffer(slow(offset + i, words[i], masks[i]), np.int32)
+            rows.put(np.array([len(distinct) + i]), ids, np.array([len(ids)]))
+        return rows.joined(chosen)
+
+    def _run(self, rows: Rows, names: np.ndarray, which: np.ndarray, masks: np.ndarray, symbols: np.ndarray,
+             starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Runs the words ``which`` and puts their ids under ``names``.  Returns the
+        coins each looked at as a mask; bit ``WIDTH`` alone if it needs a run by itself."""
+        looks = np.full(len(which), 1 << WIDTH, np.int64)
+        length, shortest = sizes[which], 0
+        for longest in LENGTHS:
+            group = np.flatnonzero((length > shortest) & (length <= longest))
+            shortest = longest
+            for a in range(0, len(group), BLOCK):
+                some = group[a:a + BLOCK]
+                n = length[some]
+                columns = np.arange(longest + 2)
+                inside = (columns >= 1) & (columns <= n[:, None])
+                first = np.full(inside.shape, self.merges.base, np.int64)
+                first[inside] = symbols[(starts[which[some]][:, None] + columns - 1)[inside]]
+                left, counts, used = run_agendas(first, n, masks[some], self.merges)
+                rows.put(names[some], *self.merges.ids_of(left, counts))
+                looks[some] = np.where(used > WIDTH, 1 << WIDTH, (1 << np.minimum(used, WIDTH)) - 1)
+        return looks
 
 
 def decode_ids(ids, vocab: Vocabulary) -> str:
@@ -233,7 +357,7 @@ def decode_ids(ids, vocab: Vocabulary) -> str:
 
 
 def encode_documents(docs: DataFrame, model: str = DEFAULT_MODEL, seed: int = 1, dropout: float = 0.1,
-                     copies: bool = False, memo_size: int = 300_000) -> DataFrame:
+                     copies: bool = False, memo_size: int = AT_ONCE) -> DataFrame:
     """Ids of every whole text: doc_id, variant, n_tokens, ids (array<int>) and
     lossless (whether decoding the ids gave back the text).
 
@@ -243,35 +367,30 @@ def encode_documents(docs: DataFrame, model: str = DEFAULT_MODEL, seed: int = 1,
     its own coins; a run that a task's border cuts starts anew.  One row per
     document row; an empty text has no ids; a null text has null ids, 0 tokens
     and lossless true (it decodes to null).  Without a doc_id the text stands for
-    it.  Only doc_id and text are read; the memo of words is bounded and never
-    changes the result."""
+    it.  Only doc_id and text are read.  Plain runs are shared among ``memo_size``
+    words at a time, which never changes the result.  An empty table gives no rows."""
     vocab = load_vocabulary(model)
 
     def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
-        encode = kept_encoder(model, vocab, seed, dropout, memo_size)
+        encode = encoder(vocab, seed, 0, dropout, memo_size)
         last, copy = None, 0
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             nonlocal last, copy
-            doc_ids = batch.column(0).to_pylist()
-            variant, chunks, sizes, good, nulls = [], [], array("i", [0]), [], []
-            total = 0
-            for doc_id, value in zip(doc_ids, batch.column(1)):
-                text = value.as_py()
+            doc_ids, texts, variant = batch.column(0).to_pylist(), batch.column(1).to_pylist(), []
+            for one in zip(doc_ids, texts):
                 if copies:
-                    copy = copy + 1 if last == (doc_id, text) else 0
-                    last = (doc_id, text)
-                ids = encode(text, doc_id, copy) if text else b""
+                    copy = copy + 1 if last == one else 0
+                    last = one
                 variant.append(copy)
-                nulls.append(text is None)
-                good.append(not text or decode_ids(np.frombuffer(ids, "i4").tolist(), vocab) == text)
-                chunks.append(ids)
-                total += len(ids) // 4
-                sizes.append(total)
-            values = pa.Array.from_buffers(pa.int32(), total, [None, pa.py_buffer(b"".join(chunks))])
-            offsets = pa.array(np.frombuffer(sizes, np.int32))
-            lists = pa.ListArray.from_arrays(offsets, values, mask=pa.array(nulls))
-            n = np.diff(np.frombuffer(sizes, np.int32)).astype(np.int64)
+            chunks = encode.many([(t or "", d, v) for t, d, v in zip(texts, doc_ids, variant)])
+            nulls = [t is None for t in texts]
+            good = [not t or decode_ids(ids.tolist(), vocab) == t for t, ids in zip(texts, chunks)]
+            sizes = np.concatenate([[0], np.cumsum([len(c) for c in chunks])]).astype(np.int32)
+            total = int(sizes[-1])
+            values = pa.Array.from_buffers(pa.int32(), total, [None, pa.py_buffer(np.concatenate(chunks).tobytes())])
+            lists = pa.ListArray.from_arrays(pa.array(sizes), values, mask=pa.array(nulls))
+            n = np.diff(sizes).astype(np.int64)
             return pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(variant, pa.int32()), pa.array(n), lists, pa.array(good)],
                 names=["doc_id", "variant", "n_tokens", "ids", "lossless"])

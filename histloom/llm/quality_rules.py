@@ -1,13 +1,14 @@
 """Quality rules whose cutoffs come from labelled holdouts under risk control.
 
 Each rule is a metric of the text ("higher is worse") on a fixed grid of
-cutoffs.  Per stratum and rule the cutoffs are tested from the most lenient on:
-a cutoff is certified while the exact (Clopper-Pearson) upper bound on the share
-of good documents above it stays within the rule's part of ``alpha``.  Testing
-in a fixed order and stopping at the first failure needs no correction within a
-grid; across strata and rules the error level is split evenly (Bonferroni).  So,
-with probability ``1 - delta``, every stratum loses at most ``alpha`` of its
-good documents to the rules together."""
+cutoffs.  Per stratum a part of the labelled documents orders the cutoffs of all
+rules into one path on which ever more is rejected; the others, which the path has
+not seen, test it from the most lenient step on: a step is certified while the exact
+(Clopper-Pearson) upper bound on the share of good documents that its rules reject
+*together* is at most ``alpha``.  Testing in a fixed order and stopping at the first
+failure needs no correction along a path; across strata the error level is split
+evenly (Bonferroni).  So, with probability ``1 - delta``, every stratum loses at most
+``alpha`` of its good documents to the rules."""
 
 from __future__ import annotations
 
@@ -15,6 +16,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -38,6 +40,8 @@ GRIDS: dict[str, tuple[float, ...]] = {
     "word_length": (40.0, 30.0, 25.0, 20.0, 18.0, 16.0, 14.0, 13.0, 12.0, 11.0, 10.0),
 }
 RULES = list(GRIDS)
+#: Labelled documents that order a stratum's path: this share, at most about so many.
+PATH_SHARE, PATH_ROWS = 0.2, 20_000
 
 
 def repeat_words(words: list[bytes]) -> int:
@@ -144,6 +148,49 @@ def certified(k: int, n: int, limit: float, level: float) -> bool:
     return n > 0 and binomial_cdf(k, n, limit) <= level
 
 
+def path_of(levels: np.ndarray, low: np.ndarray, weight: np.ndarray, cost: float) -> list[tuple[int, int]]:
+    """Steps (rule, cut), one cutoff of one rule at a time, from rejecting nothing on.
+
+    Greedily the rule and cut that reject most low documents, less ``cost`` times the
+    good ones, per good one (of equals the most lenient cut, then the first rule);
+    all cutoffs on the way to it are steps of their own.  Ends where nothing gains.
+    ``levels`` has a row per kind of document, ``weight`` how many there are."""
+    cuts = [len(GRIDS[r]) for r in RULES]
+    there, steps = np.ones(len(levels), bool), []
+    while True:
+        best = None
+        for rule, now in enumerate(cuts):
+            mine = levels[there, rule]
+            lost = [np.bincount(mine, weight[there] * kind, now + 1)[::-1].cumsum()[::-1]
+                    for kind in (low[there], ~low[there])]       # documents at a level or above
+            for cut in range(now - 1, -1, -1):
+                gain = lost[0][cut + 1] - cost * lost[1][cut + 1]
+                rate = gain / (1 + lost[1][cut + 1])
+                if gain > 0 and (best is None or rate > best[0]):
+                    best = rate, rule, cut
+        if best is None:
+            return steps
+        _, rule, cut = best
+        steps += [(rule, c) for c in range(cuts[rule] - 1, cut - 1, -1)]
+        cuts[rule] = cut
+        there &= levels[:, rule] <= cut
+
+
+def certified_steps(good: list[int], low: list[int], n_good: int, alpha: float, error: float, cost: float) -> int:
+    """How many steps of a path to take.  ``good[i]`` and ``low[i]`` documents are
+    rejected by step i and by no earlier one.  Of the certified beginnings of the path
+    the one that rejects most low documents, less ``cost`` times the good ones; the
+    shortest of equals."""
+    best, taken, all_good, all_low = 0.0, 0, 0, 0
+    for i, (g, lo) in enumerate(zip(good, low)):
+        all_good, all_low = all_good + g, all_low + lo
+        if not certified(all_good, n_good, alpha, error):
+            break
+        if all_low - cost * all_good > best:
+            best, taken = all_low - cost * all_good, i + 1
+    return taken
+
+
 def fit_cutoffs(measured: DataFrame, labels: DataFrame, stratum: str = "lang",
                 alpha: float = 0.02, delta: float = 0.05, cost: float = 5.0) -> DataFrame:
     """Cutoffs per stratum: (stratum, _q_cuts), an array with, per rule, the
@@ -151,44 +198,49 @@ def fit_cutoffs(measured: DataFrame, labels: DataFrame, stratum: str = "lang",
 
     ``measured`` has doc_id, ``stratum`` and _q_levels; ``labels`` doc_id and
     quality (1 good, 0 low; others are ignored; of a doc_id labelled more than
-    once, all labels count).  All labelled documents are used.  Of the certified
-    cutoffs that with most low documents rejected, less ``cost`` times the good
-    ones, is taken; the first of equals."""
-    known = labels.where(F.col("quality").isin(0, 1)).select("doc_id", "quality")
-    cells = (measured.select("doc_id", F.col(stratum).alias("stratum"), "_q_levels")
-             .join(known, "doc_id")
-             .select("stratum", "quality", F.posexplode("_q_levels").alias("rule", "level"))
-             .groupBy("stratum", "rule", "level")
-             .agg(F.sum((F.col("quality") == 1).cast("long")).alias("good"),
-                  F.sum((F.col("quality") == 0).cast("long")).alias("low")))
-    cells = cut_lineage(cells)                 # strata x rules x levels rows
+    once, all labels count).  By a hash of doc_id a fifth of a stratum's labelled
+    documents, but at most about ``PATH_ROWS``, order its path; all others certify it."""
+    known = labels.where(F.col("quality").isin(0, 1)).select("doc_id", (F.col("quality") == 0).alias("low"))
+    known = cut_lineage(measured.select("doc_id", F.col(stratum).alias("stratum"), "_q_levels")
+                        .join(known, "doc_id"))                   # labelled documents, no texts
+    share = known.groupBy(F.col("stratum").alias("s")).agg(
+        F.least(F.lit(PATH_SHARE), F.lit(PATH_ROWS) / F.count(F.lit(1))).alias("share"))
+    drawn = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1_000_000)) / 1_000_000 < F.col("share")
+    dealt = known.join(share, F.col("stratum").eqNullSafe(F.col("s"))).withColumn("drawn", drawn)
+    stratum_type = known.schema["stratum"].dataType.simpleString()
+
+    def order(part: pd.DataFrame) -> pd.DataFrame:
+        steps = path_of(np.stack(part["_q_levels"].to_numpy()).astype(int), part["low"].to_numpy(bool),
+                        part["n"].to_numpy(float), cost)
+        return pd.DataFrame({"s": part["stratum"].iloc[:1], "rules": [[r for r, _ in steps]],
+                             "cuts": [[c for _, c in steps]]})
+    paths = cut_lineage(
+        dealt.where("drawn").groupBy("stratum", "low", "_q_levels").agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("stratum").applyInPandas(order, f"s {stratum_type}, rules array<int>, cuts array<int>"))
+
+    first = F.array_min(F.transform("rules", lambda r, i: F.when(
+        F.get("_q_levels", r) > F.get("cuts", i), i)))            # null: no step rejects it
+    cells = (dealt.where("NOT drawn").join(paths, F.col("stratum").eqNullSafe(paths["s"]))
+             .select("stratum", "low", "rules", "cuts", first.alias("step"))
+             .groupBy("stratum", "rules", "cuts", "step")
+             .agg(F.sum((~F.col("low")).cast("long")).alias("good"), F.sum(F.col("low").cast("long")).alias("low")))
+    cells = cut_lineage(cells)                 # strata x steps rows
     n_strata = scalar(cells, F.count_distinct(F.coalesce(F.col("stratum").cast("string"), F.lit("")),
                                               F.col("stratum").isNull()))
-    error = delta / max(1, n_strata * len(RULES))
-    limit = alpha / len(RULES)
+    error = delta / max(1, n_strata)
 
     def choose(part: pd.DataFrame) -> pd.DataFrame:
-        r = int(part["rule"].iloc[0])
-        steps = len(GRIDS[RULES[r]])
-        good, low = [0] * (steps + 1), [0] * (steps + 1)
-        for level, g, lo in zip(part["level"], part["good"], part["low"]):
-            good[level] += int(g)
-            low[level] += int(lo)
-        best, cut, above_good, above_low = 0.0, steps, 0, 0
-        for kept in range(steps - 1, -1, -1):  # reject level > kept; most lenient first
-            above_good += good[kept + 1]
-            above_low += low[kept + 1]
-            if not certified(above_good, sum(good), limit, error):
-                break
-            gain = above_low - cost * above_good
-            if gain > best:
-                best, cut = gain, kept
-        return pd.DataFrame({"stratum": part["stratum"].iloc[:1], "rule": [r], "cut": [cut]})
-
-    stratum_type = cells.schema["stratum"].dataType.simpleString()
-    cuts = cells.groupBy("stratum", "rule").applyInPandas(choose, f"stratum {stratum_type}, rule int, cut int")
-    return cuts.groupBy("stratum").agg(F.transform(F.array_sort(F.collect_list(F.struct("rule", "cut"))),
-                                                   lambda x: x["cut"]).alias("_q_cuts"))
+        rules, cuts = part["rules"].iloc[0], part["cuts"].iloc[0]
+        good, low = [0] * len(rules), [0] * len(rules)
+        for step, g, lo in zip(part["step"], part["good"], part["low"]):
+            if not pd.isna(step):
+                good[int(step)], low[int(step)] = int(g), int(lo)
+        taken = certified_steps(good, low, int(part["good"].sum()), alpha, error, cost)
+        out = [len(GRIDS[r]) for r in RULES]
+        for r, c in zip(rules[:taken], cuts[:taken]):
+            out[r] = int(c)
+        return pd.DataFrame({"stratum": part["stratum"].iloc[:1], "_q_cuts": [out]})
+    return cells.groupBy("stratum").applyInPandas(choose, f"stratum {stratum_type}, _q_cuts array<int>")
 
 
 def with_verdict(measured: DataFrame, cutoffs: DataFrame, stratum: str = "lang") -> DataFrame:
@@ -205,9 +257,10 @@ def judge_documents(docs: DataFrame, labels: DataFrame, stratum: str = "lang", *
     """Counts and verdict of every whole text: doc_id, n_words, word_chars,
     n_symbols, n_dup_lines, n_repeat_words, base_failed, kept.
 
-    One row per document row; a null or empty text has no words and fails the
-    base rule; an empty table gives no rows; with no labels only the base rule
-    rejects.  Texts are read once; the counts are stored before the cutoffs
+    One row per document row, repeated rows alike; a null or empty text has no
+    words and fails the base rule; an empty table gives no rows; with no labels, or too
+    few to certify anything, only the base rule rejects.  A null stratum is a stratum
+    of its own; other columns are not read.  Texts are read once; the counts are stored before the cutoffs
     are fitted."""
     measured = cut_lineage(with_measures(docs, ["doc_id", stratum]))
     judged = with_verdict(measured, fit_cutoffs(measured, labels, stratum, **risk), stratum)

@@ -51,6 +51,7 @@ _loads("load_customer_party_address", [contact.LOAD_CUSTOMER_PARTY_ADDRESS])
 _loads("load_party_address_all", contact.PARTY_ADDRESS_LOADS)
 _loads("load_party_email", [contact.LOAD_PARTY_EMAIL])
 _loads("load_party_phone_all", [contact.LOAD_PARTY_PHONE])
+_loads("load_phone_by_number", [contact.LOAD_PHONE_BY_NUMBER])
 _loads("load_party_agreement_all", party_agreement.PARTY_AGREEMENT_LOADS, independent=True)
 
 

@@ -22,15 +22,15 @@ def xref_subset(xref: DataFrame, id_type: str) -> DataFrame:
 
 
 def resolve_party(df: DataFrame, xref: DataFrame, id_type: str, sor_key: Column,
-                  clean_xref_side: bool = False) -> DataFrame:
-    """Inner join ``df`` to the cross-reference of ``id_type`` on
-    ``sor_party_id = sor_key``; adds ``party_id``.  The key expression is
+                  clean_xref_side: bool = False, how: str = "inner") -> DataFrame:
+    """Join ``df`` to the cross-reference of ``id_type`` on ``sor_party_id = sor_key``;
+    adds ``party_id`` (with ``how="left"`` NULL where there is no party).  The key expression is
     computed once per side so the join stays an equi hash/sort-merge join."""
     x = xref_subset(xref, id_type)
     xk = clean_string("sor_party_id") if clean_xref_side else F.col("sor_party_id")
     x = x.select(F.col("party_id"), xk.alias("_sor_key"))
     left = df.withColumn("_sor_key", sor_key)
-    return left.join(x, "_sor_key", "inner").drop("_sor_key")
+    return left.join(x, "_sor_key", how).drop("_sor_key")
 
 
 MATCH_MODES = ("upper_trim", "clean", "exact")
@@ -79,11 +79,17 @@ def translate_code(df: DataFrame, value: ColumnLike, translations: DataFrame,
     return left.join(t, "_tr_key", "left").drop("_tr_key")
 
 
+def product_subset(products: DataFrame, out: str, trim_code: bool = True) -> DataFrame:
+    """Distinct (_prod_key, ``out``) of the product translator: upper-cased (and
+    trimmed) plan type code and product id."""
+    code = F.upper(F.trim("knd_min_cde")) if trim_code else F.upper("knd_min_cde")
+    return (products.filter(normalise("admn_sys_cde") == "TRAC")
+                    .select(code.alias("_prod_key"), F.col("prod_id").alias(out)).distinct())
+
+
 def product_lookup(df: DataFrame, plan_type: ColumnLike, products: DataFrame, out: str,
                    trim_code: bool = True) -> DataFrame:
     """Left-join the product translator on the upper-cased plan type code."""
-    code = F.upper(F.trim("knd_min_cde")) if trim_code else F.upper("knd_min_cde")
-    p = (products.filter(normalise("admn_sys_cde") == "TRAC")
-                 .select(code.alias("_prod_key"), F.col("prod_id").alias(out)).distinct())
     key = F.upper(F.trim(col_(plan_type))) if trim_code else F.upper(col_(plan_type))
-    return df.withColumn("_prod_key", key).join(p, "_prod_key", "left").drop("_prod_key")
+    return (df.withColumn("_prod_key", key).join(product_subset(products, out, trim_code), "_prod_key", "left")
+            .drop("_prod_key"))

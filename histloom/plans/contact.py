@@ -8,6 +8,8 @@ into the three phone kinds with ``stack``."""
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from ..functions import (blank, bounds, clean_string, hash_key, is_flag, prehash_value,
@@ -143,3 +145,6 @@ def _derive_party_phone(src, as_of):
 
 LOAD_PARTY_PHONE = LoadSpec("party_phone", T.PARTY_PHONE, PARTY_PHONE_KEY, _derive_party_phone,
                             batch_name="Producer_to_CIP", source_system_id="207")
+
+# As the original statements flag it: one current row per phone of a kind, whoever has it.
+LOAD_PHONE_BY_NUMBER = replace(LOAD_PARTY_PHONE, name="party_phone_by_number", partition_keys=PARTY_PHONE_KEY[:2])

@@ -2,7 +2,8 @@
 sponsor, participant, beneficiary) on which agreement.
 
 Key: agreement, party and role hashes.  The role is part of the key, so the
-four loads never share a key and run as one pass."""
+four loads never share a key and run as one pass.  Sponsor and participant come from
+one pass over the participants."""
 
 from __future__ import annotations
 
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 
 from ..functions import (blank, clean_string, composite_id, date_lit, hash_key, int_text, is_flag,
                          nullable_hash, row_checksum, to_dtm)
-from ..operators.lookup import product_lookup, resolve_party, translate_code
+from ..operators.history import fan_out
+from ..operators.lookup import product_lookup, product_subset, resolve_party, translate_code
 from . import targets as T
 from .agreement import MASTER, PARTICIPANT, SOURCE, agreement_key
 from .party import sponsor_party_id
@@ -33,7 +35,7 @@ def _bridge(df, nr, type_, party_id, role, product=None, account=None, sub_role=
         agreement_key(blank(), nr, blank(), F.lit(SOURCE), F.lit(type_))
         .alias("dim_agreement_natural_key_hash_uuid"),
         hash_key(party_id).alias("dim_party_natural_key_hash_uuid"),
-        hash_key(F.lit(role)).alias("ref_party_role_natural_key_hash_uuid"),
+        hash_key(F.lit(role) if isinstance(role, str) else role).alias("ref_party_role_natural_key_hash_uuid"),
         (nullable_hash(sub_role) if sub_role is not None else blank())
         .alias("ref_party_sub_role_natural_key_hash_uuid"),
         (nullable_hash(product) if product is not None else blank())
@@ -63,44 +65,44 @@ def _derive_group(src, as_of):
                    end=F.coalesce(F.col("_trm"), _unbounded()[1]))
 
 
-def _with_plan(df, plan, trim_flag):
+def _with_plan(df, plan):
     pl = plan.select("icu_id", "plan_id", F.col("spnsr_cmpny_id").alias("_plan_spnsr"),
                      "plan_type_cd", F.col("actv_rcrd_ind").alias("_plan_actv"))
-    df = df.join(pl, ["icu_id", "plan_id"], "left")
-    plan_ok = is_flag("_plan_actv") if trim_flag else active("_plan_actv")
-    row_ok = is_flag("actv_rcrd_ind") if trim_flag else active()
-    return df.filter(plan_ok & row_ok)
-
-
-def _derive_sponsor_role(src, as_of):
-    df = _with_plan(src.participant, src.plan, trim_flag=False)
-    df = product_lookup(df, "plan_type_cd", src.product, "_prod", trim_code=False)
-    nr = composite_id("icu_id", int_text("spnsr_cmpny_id"), "plan_id", "prtcpnt_id")
-    prod = clean_string("_prod")
-    return _bridge(df, nr, PARTICIPANT, sponsor_party_id(), SPONSOR, product=prod,
-                   checksum=row_checksum(prod, blank(), blank()),
-                   begin=_unbounded()[0], end=_unbounded()[1])
-
-
-def _derive_participant_role(src, as_of):
-    df = resolve_party(src.participant, src.xref, "TRAC_PRTC_ID", participant_sor())
-    df = _with_plan(df, src.plan, trim_flag=True)
-    df = product_lookup(df, "plan_type_cd", src.product, "_prod", trim_code=True)
-    df = translate_code(df, "prtcpnt_stts_cd", src.translation, ROLE_CATEGORY, "_sub_role")
+    return df.join(pl, ["icu_id", "plan_id"], "left")
+
+
+def _derive_participant_roles(src, as_of):
+    """Sponsor and participant role of every participant: the participants are joined
+    to the cross-reference and the plans once, then each row gives the roles it has.
+    The sponsor's product code is compared as it is, the participant's trimmed."""
+    plan_type, status = F.col("plan_type_cd"), F.col("prtcpnt_stts_cd")
+    df = resolve_party(src.participant, src.xref, "TRAC_PRTC_ID", participant_sor(), how="left")
+    df = _with_plan(df, src.plan)
+    df = fan_out(df, [
+        (active("_plan_actv") & active(),
+         {"_role": F.lit(SPONSOR), "_party": sponsor_party_id(), "_prod_key": F.upper(plan_type), "_status": blank()}),
+        (is_flag("_plan_actv") & is_flag("actv_rcrd_ind") & F.col("party_id").isNotNull(),
+         {"_role": F.lit(PARTICIPANT_ROLE), "_party": F.col("party_id"), "_prod_key": F.upper(F.trim(plan_type)),
+          "_status": status})])
+    products = product_subset(src.product, "_prod", trim_code=False).withColumn("_role", F.lit(SPONSOR)).unionByName(
+        product_subset(src.product, "_prod", trim_code=True).withColumn("_role", F.lit(PARTICIPANT_ROLE)))
+    df = df.join(products, ["_role", "_prod_key"], "left")
+    df = translate_code(df, "_status", src.translation, ROLE_CATEGORY, "_sub_role")
     nr = composite_id("icu_id", int_text("spnsr_cmpny_id"), "plan_id", "prtcpnt_id")
-    prod, sub = clean_string("_prod"), clean_string("_sub_role")
-    parts = (F.lit(PARTICIPANT_ROLE), F.col("party_id"), F.lit(SOURCE), F.lit(PARTICIPANT),
+    prod, sub, own = clean_string("_prod"), clean_string("_sub_role"), F.col("_role") == PARTICIPANT_ROLE
+    parts = (F.lit(PARTICIPANT_ROLE), F.col("_party"), F.lit(SOURCE), F.lit(PARTICIPANT),
              blank(), nr, blank())
-    return _bridge(df, nr, PARTICIPANT, F.col("party_id"), PARTICIPANT_ROLE, product=prod,
-                   account=hash_key(*parts), sub_role=sub,
-                   checksum=row_checksum(prod, *parts, sub),
+    return _bridge(df, nr, PARTICIPANT, F.col("_party"), F.col("_role"), product=prod,
+                   account=F.when(own, hash_key(*parts)), sub_role=sub,
+                   checksum=F.when(own, row_checksum(prod, *parts, sub))
+                   .otherwise(row_checksum(prod, blank(), blank())),
                    begin=_unbounded()[0], end=_unbounded()[1])
 
 
 def _derive_beneficiary_role(src, as_of):
     df = resolve_party(src.beneficiary, src.xref, "TRAC_BEN_ID", beneficiary_sor(),
                        clean_xref_side=True)
-    df = _with_plan(df, src.plan, trim_flag=True)
+    df = _with_plan(df, src.plan).filter(is_flag("_plan_actv") & is_flag("actv_rcrd_ind"))
     df = product_lookup(df, "plan_type_cd", src.product, "_prod", trim_code=True)
     nr = composite_id("icu_id", int_text("_plan_spnsr"), "plan_id", "prtcpnt_id")
     prod = clean_string("_prod")
@@ -111,9 +113,8 @@ def _derive_beneficiary_role(src, as_of):
 
 PARTY_AGREEMENT_LOADS = [
     LoadSpec("party_agreement_group", T.PARTY_AGREEMENT, PARTY_AGREEMENT_KEY, _derive_group),
-    LoadSpec("party_agreement_sponsor", T.PARTY_AGREEMENT, PARTY_AGREEMENT_KEY, _derive_sponsor_role),
-    LoadSpec("party_agreement_participant", T.PARTY_AGREEMENT, PARTY_AGREEMENT_KEY,
-             _derive_participant_role),
+    LoadSpec("party_agreement_participant_roles", T.PARTY_AGREEMENT, PARTY_AGREEMENT_KEY,
+             _derive_participant_roles),
     LoadSpec("party_agreement_beneficiary", T.PARTY_AGREEMENT, PARTY_AGREEMENT_KEY,
              _derive_beneficiary_role),
 ]

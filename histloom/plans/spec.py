@@ -52,6 +52,7 @@ class LoadSpec:
     target_filter: Callable[[], Column] | None = None
     restart_begin_on_update: bool = False
     tags: tuple[str, ...] = field(default=())
+    partition_keys: tuple[str, ...] | None = None   # of the current flag, if not the whole key
 
 
 def target_columns(layout: list) -> list[tuple[str, str]]:
@@ -77,7 +78,7 @@ def finish(spec: LoadSpec, rows: DataFrame, target: DataFrame | HistoryTable | N
         # rows themselves); store them once so the source joins, DISTINCT and
         # change capture run a single time.
         c = cut_lineage(c)
-    c = mark_current(c, spec.keys)
+    c = mark_current(c, spec.partition_keys or spec.keys)
     if spec.restart_begin_on_update:
         c = restart_begin_on_update(c, as_of)
     c = c.withColumn("row_process_dtm", _pinned(process_ts).cast("timestamp_ntz"))
@@ -117,6 +118,8 @@ def run_rounds(rounds: Sequence[Sequence[LoadSpec]], src: Sources, history: Data
     key and go through one classify and one current-flag pass; each round is
     compared with the rows of the earlier ones."""
     as_of, process_ts = _today(as_of), _pinned(process_ts)
+    if any(s.partition_keys != specs[0].partition_keys for specs in rounds for s in specs):
+        raise ValueError("the specs of a round share one current-row flag: their partition_keys must agree")
     work: DataFrame | None = None
     for specs in rounds:
         lead = specs[0]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from . import layouts as T
 
 from .sqlgen import (NULL_S, SqlSpec, bounds, cs, hk, incremental_query, itxt, load_query, norm, ph, q, tobool,
@@ -497,6 +499,10 @@ def load_party_phone_all() -> str:
     return load_query(party_phone_specs())
 
 
+def load_phone_by_number() -> str:
+    return load_query([replace(s, flag_keys=s.keys[:2]) for s in party_phone_specs()])
+
+
 def load_agreement_sponsor() -> str:
     return load_query(agreement_specs()[:1])
 

@@ -107,6 +107,7 @@ class SqlSpec:
     target_filter: str | None = None
     restart_as_of: str | None = None
     fixtures: list = field(default_factory=list)
+    flag_keys: tuple | None = None
 
 
 def control() -> list[tuple[str, str]]:
@@ -152,8 +153,9 @@ def load_ctes(specs: list[SqlSpec], prefix: str, independent: bool = False, hist
     ctes: list[str] = []
     lead = specs[0]
     keys = list(lead.keys)
+    flag_keys = list(lead.flag_keys or keys)
     out_cols = [c for c, _ in [*lead.layout, *control()] if c != "row_process_dtm"]
-    ranked = rank_cols(lead.layout, keys)
+    ranked = rank_cols(lead.layout, flag_keys)
     order_by = ", ".join(f"{c} DESC NULLS LAST" for c in ranked)
     torder = ", ".join(f"{x} DESC NULLS LAST" for x in STORED_ORDER)
     groups = [specs] if independent else [[s] for s in specs]
@@ -180,7 +182,7 @@ def load_ctes(specs: list[SqlSpec], prefix: str, independent: bool = False, hist
                 f"{c} AS (SELECT {p}.*, CASE WHEN {t}.{keys[0]} IS NULL THEN 'I' "
                 f"WHEN {t}.check_sum <> {p}.check_sum THEN 'U' ELSE 'D' END AS change_type "
                 f"FROM {p} LEFT JOIN {t} ON {on})")
-        cur = (f"coalesce(ROW_NUMBER() OVER (PARTITION BY {', '.join(keys)} ORDER BY {order_by}) = 1 "
+        cur = (f"coalesce(ROW_NUMBER() OVER (PARTITION BY {', '.join(flag_keys)} ORDER BY {order_by}) = 1 "
                f"AND end_dt = {OPEN}, false)")
         sel = []
         for col in out_cols:

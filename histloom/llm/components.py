@@ -15,8 +15,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     Alternating large-star and small-star steps: each node's larger (smaller)
     neighbours are linked to its smallest one, until nothing changes.  Minima
-    are combined before the shuffle and the joins can split hot nodes; edges
-    never grow in number.  Each step's edges are stored, so a lost executor
+    are combined before the shuffle and the joins can split hot nodes
+    (``split_join``); edges never grow in number.  Each step's edges are stored, so a lost executor
     costs at most one step."""
     nodes = edges.select(F.col("a").alias("n")).union(edges.select("b")).distinct()
     now = cut_lineage(_oriented(edges))
@@ -31,6 +31,16 @@ def connected_components(edges: DataFrame) -> DataFrame:
             .select(F.col("n").alias("node"), F.coalesce("m", "n").alias("component")))
 
 
+def split_join(rows: DataFrame, keyed: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``keyed`` (one row per non-null ``key``, often fresh
+    from an aggregate on it), keeping the key of ``rows``.  The null-safe
+    condition puts an exchange of its own on both sides, so that AQE can split
+    a hot key of ``rows``; under a plain one the aggregate's exchange would serve
+    the join, which then cannot be split."""
+    other = keyed.withColumnRenamed(key, "_split_key")
+    return rows.join(other, F.col(key).eqNullSafe(F.col("_split_key")), how).drop("_split_key")
+
+
 def _oriented(edges: DataFrame) -> DataFrame:
     return (edges.where("a <> b")
             .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
@@ -46,13 +56,13 @@ def _state(edges: DataFrame) -> tuple:
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("k"), F.least("a", "m").alias("m"))
-    return (both.join(least, F.col("a") == F.col("k")).where("b > a")
+    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    return (split_join(both.where("b > a"), least, "a")
             .select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("k"), "m")
-    moved = (edges.join(least, F.col("a") == F.col("k")).where("b <> m")
+    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    moved = (split_join(edges, least, "a").where("b <> m")
              .select(F.col("b").alias("a"), F.col("m").alias("b")))
-    return moved.unionByName(least.select(F.col("k").alias("a"), F.col("m").alias("b"))).distinct()
+    return moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct()

@@ -24,13 +24,13 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.io import cut_lineage
 from . import sketch
 from .common import map_texts, packed
-from .components import connected_components
+from .components import connected_components, split_join
 
 #: Coordinates of a band, and how likely a pair at the threshold may be missed.
 ROWS, MISS = 5, 1e-6
@@ -71,13 +71,17 @@ def chunks(texts: list[bytes], limit: int = CHUNK_BYTES) -> Iterator[tuple[int,
         yield start, len(texts)
 
 
-def _row_key():
-    return F.xxhash64("doc_id", "text")
+def _row_key(doc_id: Column, text: Column) -> Column:
+    """128 bits of a row's doc_id and text (nulls apart from empty texts): equal
+    for equal rows, and at any corpus size for no others."""
+    marked = [F.coalesce(doc_id.cast("string"), F.lit("-")), F.when(text.isNull(), "n").otherwise("t"),
+              F.coalesce(text, F.lit(""))]
+    return F.unhex(F.md5(F.concat_ws(":", *marked).cast("binary")))
 
 
 def _rows(docs: DataFrame) -> DataFrame:
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-            .select("doc_id", _row_key().alias("row_key"), F.col("text").cast("binary").alias("text")))
+            .select("doc_id", _row_key(F.col("doc_id"), F.col("text")).alias("row_key"), F.col("text").cast("binary").alias("text")))
 
 
 def fingerprints(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
@@ -102,7 +106,7 @@ def fingerprints(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
                 names=["doc_id", "row_key", "n_shingles", "digest", "keys"])
         return step
     return map_texts(_rows(docs), ["doc_id", "row_key", "text"],
-                     "doc_id long, row_key long, n_shingles long, digest binary, keys array<long>", make)
+                     "doc_id long, row_key binary, n_shingles long, digest binary, keys array<long>", make)
 
 
 def linked(inter, n_a, n_b, threshold: int = THRESHOLD):
@@ -158,11 +162,11 @@ def _links(docs: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
     ``classes``: digest, n_shingles, row_key, keys."""
     members = classes.select("digest", F.explode("keys").alias("key"))
     buckets = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = cut_lineage(members.join(buckets, "key").select("key", "digest", "n"))
+    members = cut_lineage(split_join(members, buckets, "key").select("key", "digest", "n"))
     degree = members.groupBy("digest").agg(F.sum("n").alias("degree"))
     members = members.join(degree, "digest")
     hubs = members.groupBy("key").agg(F.max_by("digest", F.struct("degree", "digest")).alias("hub"))
-    members = cut_lineage(members.join(hubs, "key").select("key", "digest", "hub"))
+    members = cut_lineage(split_join(members, hubs, "key").select("key", "digest", "hub"))
 
     needed = classes.join(members.select("digest").distinct(), "digest").select("digest", "n_shingles", "row_key")
     texts = cut_lineage(_rows(docs).drop("doc_id").join(needed, "row_key")
@@ -191,7 +195,7 @@ def _rest(members: DataFrame, texts: DataFrame, found: DataFrame, threshold: int
                     # buckets of the same members (in several bands) are done once
                     .groupBy("n", "x", "s").agg(F.min("key").alias("key"), F.min("size").alias("size"))
                     .select("key", F.ceil(F.col("size") / TILE_SHINGLES).cast("int").alias("tiles")))
-    tiled = rows.join(open_buckets, "key").withColumn(
+    tiled = split_join(rows, open_buckets, "key").withColumn(
         "tile", F.pmod(F.xxhash64("digest", F.lit(7)), F.col("tiles")).cast("int"))
     spread = (tiled.select("key", "digest", "component", "tile",
                            F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
@@ -204,6 +208,30 @@ def _rest(members: DataFrame, texts: DataFrame, found: DataFrame, threshold: int
     return spread.groupBy("key", "i", "j").applyInPandas(forest, "a binary, b binary")
 
 
+def _verdicts(docs: DataFrame, threshold: int) -> DataFrame:
+    """near_duplicates and, per row, ``one``: the row_key that stands for its
+    component (null without shingles)."""
+    prints = cut_lineage(fingerprints(docs, threshold))
+    some = prints.where("digest IS NOT NULL")
+    classes = cut_lineage(some.groupBy("digest").agg(
+        F.first("n_shingles").alias("n_shingles"),
+        F.min_by(F.struct("doc_id", "row_key", "keys"), F.struct(F.col("doc_id").isNull(), "doc_id", "row_key"))
+        .alias("one"))
+        .select("digest", F.col("one.doc_id").alias("least_id"), "n_shingles", "one.row_key", "one.keys"))
+    found = connected_components(cut_lineage(_links(docs, classes, threshold)))
+    named = classes.select("digest", "least_id", "row_key").join(
+        found, classes["digest"] == found["node"], "left").select(
+        "digest", "least_id", "row_key", F.coalesce("component", "digest").alias("component"))
+    least = named.groupBy("component").agg(
+        F.min(F.struct(F.col("least_id").isNull(), "least_id", "row_key")).alias("first")).select(
+        "component", F.col("first.least_id").alias("component_id"), F.col("first.row_key").alias("one"))
+    ids = split_join(named.select("digest", "component"), least, "component").select("digest", "component_id", "one")
+    return prints.join(ids, "digest", "left").select(
+        "doc_id", "row_key", "n_shingles",
+        F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        "one").withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
 def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """Per document row: doc_id, row_key, n_shingles, component_id (smallest
     doc_id that links reach, its own included) and kept (doc_id = component_id).
@@ -212,26 +240,28 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     are copies of each other and share a verdict.  A null doc_id never is a
     component's smallest unless all its members' are null; then component_id is
     null and kept true.  Shingle sets whose similarity is ``threshold`` hundredths
-    or more are linked.  Only doc_id and text are read."""
-    prints = cut_lineage(fingerprints(docs, threshold))
-    some = prints.where("digest IS NOT NULL")
-    classes = cut_lineage(some.groupBy("digest").agg(
-        F.min("doc_id").alias("least_id"), F.first("n_shingles").alias("n_shingles"),
-        F.min_by(F.struct("row_key", "keys"), F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("one"))
-        .select("digest", "least_id", "n_shingles", "one.row_key", "one.keys"))
-    found = connected_components(cut_lineage(_links(docs, classes, threshold)))
-    named = classes.select("digest", "least_id").join(found, classes["digest"] == found["node"], "left").select(
-        "digest", "least_id", F.coalesce("component", "digest").alias("component"))
-    least = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    ids = named.join(least, "component").select("digest", "component_id")
-    return prints.join(ids, "digest", "left").select(
-        "doc_id", "row_key", "n_shingles",
-        F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-    ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    or more are linked.  An empty table gives no rows; texts are hashed whole,
+    however long.  Only doc_id and text are read."""
+    return _verdicts(docs, threshold).drop("one")
 
 
 def drop_near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that are kept, with their own columns."""
-    gone = near_duplicates(docs, threshold).where("NOT kept").select("row_key").distinct()
-    keyed = docs.select(packed(docs), F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")).alias("key"))
-    return keyed.join(gone, F.col("key") == F.col("row_key"), "left_anti").select("_row.*")
+    """One row of each component of ``docs``, with its own columns.
+
+    It is the row with the smallest doc_id (null last); among equal doc_ids the
+    one with the smallest hash of doc_id and text, and of rows that repeat both,
+    the one whose columns have the smallest hash.  Rows without shingles are in
+    no component and all stay.  An empty table stays empty."""
+    seen = cut_lineage(_verdicts(docs, threshold).where("one IS NOT NULL").select(
+        "row_key", (F.col("row_key") == F.col("one")).alias("stays")))
+    gone = seen.where("NOT stays").select("row_key").distinct()
+    again = seen.where("stays").groupBy("row_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("row_key")
+    keyed = docs.select(packed(docs), _row_key(F.col("doc_id").cast("long"), F.col("text").cast("string")).alias("row_key"))
+    if again.isEmpty():
+        return split_join(keyed, gone, "row_key", "left_anti").select("_row.*")
+    marks = gone.select("row_key", F.lit(False).alias("repeated")).unionByName(
+        again.select("row_key", F.lit(True).alias("repeated")))
+    marked = cut_lineage(split_join(keyed, marks, "row_key", "left").where("repeated IS NULL OR repeated"))
+    single = marked.where("repeated").groupBy("row_key").agg(
+        F.min_by("_row", F.xxhash64(F.to_json("_row"))).alias("_row"))
+    return marked.where("repeated IS NULL").select("_row.*").unionByName(single.select("_row.*"))

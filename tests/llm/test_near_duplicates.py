@@ -56,7 +56,8 @@ def test_kept_rows_have_their_own_columns(spark):
     docs = cases.docs(spark)
     kept = nd.drop_near_duplicates(docs)
     assert kept.schema == docs.schema
-    want = sorted((str(r[0]) for r in brute(cases.rows()) if r[3]))
+    from .test_thresholds import survivors
+    want = survivors(cases.rows(), nd.THRESHOLD)
     assert sorted(str(r.doc_id) for r in kept.collect()) == want
 
 
@@ -97,3 +98,64 @@ def test_connected_components(spark, edges):
     root = roots(len(nodes), [(nodes.index(a), nodes.index(b)) for a, b in edges])
     want = {n: min(m for j, m in enumerate(nodes) if root[j] == root[i]) for i, n in enumerate(nodes)}
     assert got == want
+
+
+def test_one_row_of_each_group_stays(spark):
+    """Repeated rows, copies without ids, equal ids of near copies, wordless rows."""
+    text = " ".join(f"w{i}" for i in range(60))
+    near = text.replace("w59", "other")
+    rows = ([(1, text, "a", {"k": 1})] * 5 + [(1, text, "b", None), (1, near, "c", None), (7, near, "d", None)]
+            + [(None, "four rows without an id " * 3, "e", None)] * 4 + [(None, "four rows without an id " * 3 + "four", "f", None)]
+            + [(3, "", "g", None)] * 2 + [(None, None, "h", None)] * 2)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, extra map<string, int>").repartition(4)
+    got = nd.drop_near_duplicates(docs, 80)
+    assert got.schema == docs.schema
+    left = sorted((str(r.doc_id), r.text or "", r.lang) for r in got.collect())
+    assert len([x for x in left if x[0] == "1"]) == 1 and not [x for x in left if x[0] == "7"]
+    assert len([x for x in left if x[2] in "ef"]) == 1
+    assert [x[2] for x in left if x[2] in "gh"] == ["g", "g", "h", "h"] and len(left) == 6
+    again = sorted((str(r.doc_id), r.text or "", r.lang) for r in nd.drop_near_duplicates(docs.repartition(1), 80).collect())
+    assert again == left
+
+
+def test_row_keys_tell_nulls_from_text(spark):
+    rows = [(None, None), (None, ""), (0, None), (0, ""), (None, "n"), (1, ":t:"), (1, "t:"), (11, ""), (1, "1")]
+    keys = [r.row_key for r in nd._rows(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert len(set(keys)) == len(rows) and {len(k) for k in keys} == {16}
+
+
+def _neighbours(edges):
+    out = {}
+    for a, b in edges:
+        out.setdefault(a, set()).add(b)
+    return out
+
+
+def test_hot_nodes_are_split(spark):
+    """One node has half of all links: AQE splits its partition in both steps."""
+    from pyspark.sql import functions as F
+    from histloom.llm import components
+    low = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+           "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+           "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+    old = {k: spark.conf.get(k) for k in low}
+    even, top = F.col("id") % 2 == 0, 60_001
+    ids = spark.range(1, top, 1, 16)
+    above = ids.select(F.when(even, top).otherwise(F.col("id") + 1).cast("long").alias("a"), F.col("id").alias("b"))
+    below = ids.select(F.col("id").alias("a"), F.when(even, 0).otherwise(F.col("id") - 1).cast("long").alias("b"))
+    small, large = set(), set()
+    for a, near in _neighbours((top if i % 2 == 0 else i + 1, i) for i in range(1, top)).items():
+        small |= {(b, min(near)) for b in near if b != min(near)} | {(a, min(near))}
+    pairs = [(i, 0 if i % 2 == 0 else i - 1) for i in range(1, top)]
+    for a, near in _neighbours(pairs + [(b, a) for a, b in pairs]).items():
+        large |= {(b, min(near | {a})) for b in near if b > a}
+    try:
+        for k, v in low.items():
+            spark.conf.set(k, v)
+        for step, edges, want in ((components._small_star, above, small), (components._large_star, below, large)):
+            out = step(edges)
+            assert {(r.a, r.b) for r in out.collect()} == want
+            assert "skew=true" in out._jdf.queryExecution().executedPlan().toString(), step
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

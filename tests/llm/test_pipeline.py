@@ -4,7 +4,7 @@ import corpus_pipeline as cp
 from histloom.llm import mixing, pii
 
 from . import cases
-from .test_thresholds import components
+from .test_thresholds import survivors
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -29,7 +29,7 @@ def test_stages(spark, tmp_path):
 
     single = stages["near_duplicates"](spark, docs, base)
     assert single.columns == COLUMNS
-    assert sorted(str(r.doc_id) for r in single.collect()) == sorted(str(r[0]) for r in components(whole, cp.COPIES) if r[2])
+    assert sorted(str(r.doc_id) for r in single.collect()) == survivors(whole, cp.COPIES)
 
     anchors = pii.build_anchors()
     clean = sorted((tuple(r)[:2] for r in cp.redact(spark, docs, base).collect()), key=str)

@@ -165,6 +165,44 @@ def test_prior_estimate_and_risk():
     rng = np.random.default_rng(5)
     good, low = rng.normal(2, 1, (4000, 16)), rng.normal(-2, 1, (4000, 16))
     u = np.concatenate([rng.normal(2, 1, (1800, 16)), rng.normal(-2, 1, (1200, 16))])
-    scorer = pu_quality.fit(good, u)
+    scorer = pu_quality.fit(pu_quality.Sample.of(good), pu_quality.Sample.of(u))
     assert abs(scorer.prior - 0.6) < 0.05
     assert (scorer.score(good) > 0.5).mean() > 0.97 and (scorer.score(low) > 0.5).mean() < 0.1
+
+
+def test_risk_gradient_is_the_derivative_of_the_risk():
+    """Against finite differences, on both sides of a negative risk of 0."""
+    rng = np.random.default_rng(6)
+    for shift in (-3, 3):
+        zp, zu = rng.normal(1, 1, 6), rng.normal(shift, 1, 9)
+        wp, wu = (w / w.sum() for w in (rng.random(6), rng.random(9)))
+
+        def negative(a, b):
+            return pu_quality._negative_risk(a, b, wp, wu, 0.5)
+        assert (negative(zp, zu) < 0) == (shift < 0)
+
+        def risk(a, b):
+            return -negative(a, b) if shift < 0 else 0.5 * (wp @ np.logaddexp(0, -a)) + negative(a, b)
+        gp, gu = pu_quality.nn_pu_gradient(0.5)(zp, zu, wp, wu)
+        for g, z, at in ((gp, zp, lambda d: risk(zp + d, zu)), (gu, zu, lambda d: risk(zp, zu + d))):
+            for i in range(len(z)):
+                step = np.eye(len(z))[i] * 1e-5
+                assert abs((at(step) - at(-step)) / 2e-5 - g[i]) < 1e-7
+
+
+def test_prior_counts_cover_all_rows_and_repeats_take_one_place(spark):
+    rng = np.random.default_rng(7)
+    x = rng.normal(0, 1, (300, 16))
+    rows = [(i, [float(v) for v in x[i]]) for i in range(300)] + [(0, [float(v) for v in x[0]])] * 150
+    known = spark.createDataFrame(rows, "doc_id long, x array<double>").repartition(7)
+    first = pu_quality.Scorer(pu_quality._cuts(x), rng.normal(0, 1, 256), 0.1)
+    cuts = np.array([-1.0, 0.0, 0.5])
+    z = first.logit(np.array([r[1] for r in rows]))
+    want = [(z < -1).sum(), ((z >= -1) & (z < 0)).sum(), ((z >= 0) & (z < 0.5)).sum(), (z >= 0.5).sum()]
+    assert pu_quality._counts(known)(first, cuts).tolist() == want
+    got = pu_quality._sample(known, F.lit(True))
+    assert len(got.x) == 300 and sorted(got.n)[-2:] == [1, 151] and 100 < got.first.sum() < 200
+    again = pu_quality._sample(known.repartition(2), F.lit(True))
+    assert (again.x == got.x).all() and (again.n == got.n).all() and (again.first == got.first).all()
+    few = pu_quality._sample(known, pu_quality._drawn(300, 60, 2))
+    assert 30 < len(few.x) < 100

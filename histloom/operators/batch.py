@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Callable
+from concurrent.futures import Future, ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,10 +72,50 @@ class StepFailed(RuntimeError):
     """A step raised; what ran before it is logged as done."""
 
 
+class _LogWriter:
+    """Appends log rows while the next step runs: one INSERT at a time, with all rows
+    that have come since the last one began, in order."""
+
+    def __init__(self, spark: SparkSession, log: str):
+        self.spark, self.log, self.waiting = spark, log, []
+        self.pool, self.busy = ThreadPoolExecutor(1), Future()
+        self.busy.set_result(None)
+
+    def add(self, row: dict) -> None:
+        self.waiting.append(row)
+        if self.busy.done():
+            self._start()
+
+    def _start(self) -> None:
+        self.busy.result()                     # raises what the last INSERT raised
+        rows, self.waiting = self.waiting, []
+        self.busy = self.pool.submit(self._insert, rows)
+
+    def _insert(self, rows: list[dict]) -> None:
+        types = {"start": "TIMESTAMP_NTZ", "end": "TIMESTAMP_NTZ", "message": "STRING"}
+        values = ", ".join("(" + ", ".join(f"CAST(:{c}{i} AS {types[c]})" if c in types else f":{c}{i}" for c in row) + ")"
+                           for i, row in enumerate(rows))
+        self.spark.sql(f"INSERT INTO {self.log} (run_id, source_cd, work_table, transformation_seq, attempt, status, "
+                       f"start_dtm, end_dtm, message) VALUES {values}",
+                       {f"{c}{i}": v for i, row in enumerate(rows) for c, v in row.items()})
+
+    def close(self) -> None:
+        """Returns once every row is in the table."""
+        try:
+            self.busy.result()
+            if self.waiting:
+                self._start()
+                self.busy.result()
+        finally:
+            self.pool.shutdown()
+
+
 def run_logged(spark: SparkSession, steps: DataFrame, source_cd: str, work_table: str, today, log: str, run_id: str,
                execute: Callable[[int, DataFrame], str | None], audit: str | None = None, scheduler: str = "cron",
                analyze: str | None = None) -> list[int]:
-    """Run the valid steps in order, one log row each (status, start, end, message).
+    """Run the valid steps in order, one log row each (status, start, end, message), stored
+    while the next step runs: if the driver is lost, so may be the rows of the steps that ended
+    during the last INSERT, and these run again.
 
     The first failure is logged, ends the run and raises ``StepFailed``.  The same
     ``run_id`` run again goes on behind the steps that are logged as done.  With
@@ -92,24 +133,28 @@ def run_logged(spark: SparkSession, steps: DataFrame, source_cd: str, work_table
             if int(r.transformation_seq) not in done]
     if audit:
         open_stored(spark, audit, run_id, scheduler, "I")
-    ran = []
-    for r in todo:
-        seq, start, message, error = int(r.transformation_seq), _now(), None, None
-        try:
-            message = execute(seq, spark.sql(r.sql_statement))
-        except Exception as e:  # whatever a step raises belongs in the log
-            error, message = e, f"{type(e).__name__}: {e}"[:1000]
-        spark.sql(f"INSERT INTO {log} (run_id, source_cd, work_table, transformation_seq, attempt, status, start_dtm, "
-                  "end_dtm, message) VALUES (:run, :source, :work, :seq, :attempt, :status, "
-                  "CAST(:start AS TIMESTAMP_NTZ), CAST(:end AS TIMESTAMP_NTZ), CAST(:message AS STRING))",
-                  {"run": run_id, "source": source_cd.strip(), "work": work_table.strip(), "seq": seq,
-                   "attempt": attempts.get(seq, 0) + 1, "status": FAILED if error else DONE,
-                   "start": start, "end": _now(), "message": message})
-        if error:
-            if audit:
-                close_stored(spark, audit, run_id, FAILED)
-            raise StepFailed(f"step {seq} of {work_table}: {message}") from error
-        ran.append(seq)
+    ran, writer, failed = [], _LogWriter(spark, log), None
+    try:
+        for r in todo:
+            seq, start, message, error = int(r.transformation_seq), _now(), None, None
+            try:
+                message = execute(seq, spark.sql(r.sql_statement))
+            except Exception as e:  # whatever a step raises belongs in the log
+                error, message = e, f"{type(e).__name__}: {e}"[:1000]
+            writer.add({"run": run_id, "source": source_cd.strip(), "work": work_table.strip(), "seq": seq,
+                        "attempt": attempts.get(seq, 0) + 1, "status": FAILED if error else DONE,
+                        "start": start, "end": _now(), "message": message})
+            if error:
+                failed = StepFailed(f"step {seq} of {work_table}: {message}")
+                failed.__cause__ = error
+                break
+            ran.append(seq)
+    finally:
+        writer.close()
+    if failed:
+        if audit:
+            close_stored(spark, audit, run_id, FAILED)
+        raise failed
     if analyze:
         refresh_statistics(spark, analyze)
     if audit:

@@ -40,8 +40,9 @@ GRIDS: dict[str, tuple[float, ...]] = {
     "word_length": (40.0, 30.0, 25.0, 20.0, 18.0, 16.0, 14.0, 13.0, 12.0, 11.0, 10.0),
 }
 RULES = list(GRIDS)
-#: Labelled documents that order a stratum's path: this share, at most about so many.
-PATH_SHARE, PATH_ROWS = 0.2, 20_000
+#: Share of a stratum's labelled documents that orders its path; all others certify it.
+#: That share has no bound in rows.
+PATH_SHARE, PATH_ROWS = 0.2, math.inf
 
 
 def repeat_words(words: list[bytes]) -> int:
@@ -199,14 +200,13 @@ def fit_cutoffs(measured: DataFrame, labels: DataFrame, stratum: str = "lang",
     ``measured`` has doc_id, ``stratum`` and _q_levels; ``labels`` doc_id and
     quality (1 good, 0 low; others are ignored; of a doc_id labelled more than
     once, all labels count).  By a hash of doc_id a fifth of a stratum's labelled
-    documents, but at most about ``PATH_ROWS``, order its path; all others certify it."""
+    documents order its path and all others certify it, so every labelled one has a part in
+    the cutoffs.  A path is made from counts of equal levels, at most one per cell of the grids."""
     known = labels.where(F.col("quality").isin(0, 1)).select("doc_id", (F.col("quality") == 0).alias("low"))
     known = cut_lineage(measured.select("doc_id", F.col(stratum).alias("stratum"), "_q_levels")
                         .join(known, "doc_id"))                   # labelled documents, no texts
-    share = known.groupBy(F.col("stratum").alias("s")).agg(
-        F.least(F.lit(PATH_SHARE), F.lit(PATH_ROWS) / F.count(F.lit(1))).alias("share"))
-    drawn = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1_000_000)) / 1_000_000 < F.col("share")
-    dealt = known.join(share, F.col("stratum").eqNullSafe(F.col("s"))).withColumn("drawn", drawn)
+    drawn = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1_000_000)) / 1_000_000 < PATH_SHARE
+    dealt = known.withColumn("drawn", drawn)
     stratum_type = known.schema["stratum"].dataType.simpleString()
 
     def order(part: pd.DataFrame) -> pd.DataFrame:

@@ -36,8 +36,17 @@ ENROLLMENT_ORDER = ("rcrd_effctv_dt", "vru_enrllmnt_stts_key")
 
 def balance_totals(asset):
     """Per participant contract: total cash and share balance, and whether any
-    asset row comes from a rollover source.  One partial+final aggregate."""
-    return asset.groupBy(*CONTRACT).agg(
+    asset row comes from a rollover source.  One partial+final aggregate.
+
+    There are nearly as many contracts as rows, so its hash tables hold the whole
+    task.  Rows are dealt by contract first: else the tables stand in the task of
+    the join below (all contracts of a plan in one) beside its sorts, and AQE makes
+    tasks of 64 MB of compressed rows, ten times that in a table.  AQE keeps a number
+    that is given.  A session of few partitions gets twice as many, as a task holds
+    two tables; with more than 200 the shuffle's writer would sort its rows, too."""
+    parts = int(asset.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = asset.repartition(max(parts, min(2 * parts, 200)), *CONTRACT)
+    return dealt.groupBy(*CONTRACT).agg(
         F.sum("asst_pstn_amt").alias("total_balance_cash_amt"),
         F.sum("shr_blnc_amt").alias("total_balance_share_amt"),
         F.max(F.col("src_cd").isin(*ROLLOVER_SOURCES)).alias("_rollover"),

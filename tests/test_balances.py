@@ -69,3 +69,16 @@ def test_balance_totals_match_plain_sums(spark, asset):
         cash[_icu(plan), plan, who].append(c)
         shares[_icu(plan), plan, who].append(s)
     assert got == {k: (_total(cash[k]), _total(shares[k])) for k in cash}
+
+
+def test_rollover_flags_match_plain_rows(spark, asset):
+    """Dealt as the totals are; a NULL in the key matches nothing."""
+    participants = [(_icu(p), p, w) for p, w in sorted({(r[0], r[1] or "none") for r in _rows()})] * 2
+    own = spark.createDataFrame(participants, "icu_id string, plan_id string, prtcpnt_id string")
+    keyed = asset.withColumn("icu_id", F.coalesce("icu_id", F.lit("00")))
+    use_sources(spark, "rollover", Sources({"src_asset": keyed, "src_participant": own.fillna("00", ["icu_id"])}))
+    df = catalog.QUERIES["rollover_flag"](spark, "rollover")
+    marked = {(p, w) for p, w, _, _, s in _rows() if w is not None and s in account.ROLLOVER_SOURCES}
+    assert sorted(tuple(r) for r in df.collect()) == sorted(
+        (i or "00", p, w, (p, w) in marked) for i, p, w in participants)
+    assert len(_groups_per_task(df)) == 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -26,6 +26,9 @@ from .plans.targets import struct_type
 #: about one per 256 MB of open versions).
 BUCKETS = 8
 
+#: Steps of ``step_log_resume`` that may run side by side: each only counts rows of one table.
+STEPS_AHEAD = 12
+
 
 @register("catalog_columns")
 def q_catalog_columns(spark, sf):
@@ -156,7 +159,8 @@ def q_reflag_stored_history(spark, sf):
 @register("step_log_resume")
 def q_step_log_resume(spark, sf):
     """Steps of one work table: a run that fails at the middle step, then one that goes
-    on from there.  One row per logged step with the count its statement gave."""
+    on from there.  One row per logged step with the count its statement gave.  The steps only
+    read, so several run at a time; they are logged in order."""
     src = load_sources(spark, sf)
     spark.read.parquet(f"{sf}/supplier.parquet").createOrReplaceTempView("supplier")
     log = batch.log_table(spark)
@@ -173,10 +177,10 @@ def q_step_log_resume(spark, sf):
 
     args = ("TRAC", "DIM_PLAN", AS_OF, log, "plan_load", execute, audit)
     try:
-        batch.run_logged(spark, first, *args)
+        batch.run_logged(spark, first, *args, ahead=STEPS_AHEAD)
         raise AssertionError("the broken step did not fail")
     except batch.StepFailed:
-        batch.run_logged(spark, src.steps, *args, analyze=log)
+        batch.run_logged(spark, src.steps, *args, analyze=log, ahead=STEPS_AHEAD)
     done = F.col("status") == batch.DONE
     return spark.table(log).select(
         "transformation_seq", "attempt", "status", F.when(done, F.col("message")).cast("long").alias("n"),

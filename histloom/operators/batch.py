@@ -4,6 +4,7 @@ that logs every step and resumes behind the last one that succeeded."""
 from __future__ import annotations
 
 import datetime as _dt
+from collections import deque
 from collections.abc import Callable
 from concurrent.futures import Future, ThreadPoolExecutor
 
@@ -112,7 +113,7 @@ class _LogWriter:
 
 def run_logged(spark: SparkSession, steps: DataFrame, source_cd: str, work_table: str, today, log: str, run_id: str,
                execute: Callable[[int, DataFrame], str | None], audit: str | None = None, scheduler: str = "cron",
-               analyze: str | None = None) -> list[int]:
+               analyze: str | None = None, ahead: int = 1) -> list[int]:
     """Run the valid steps in order, one log row each (status, start, end, message), stored
     while the next step runs: if the driver is lost, so may be the rows of the steps that ended
     during the last INSERT, and these run again.
@@ -123,7 +124,12 @@ def run_logged(spark: SparkSession, steps: DataFrame, source_cd: str, work_table
     the outcome; ``analyze`` names a table whose statistics are refreshed at the end.
     ``execute`` takes a step's number and the DataFrame of its statement, and may
     return a text for the log.  Returns the numbers of the steps that ran.  Only one work table's step texts and log
-    rows reach the driver."""
+    rows reach the driver.
+
+    Each step waits for the one before it, unless ``ahead`` is more than 1: then up to so many run side by
+    side, from threads of their own, and are logged in order.  That is for steps that read nothing another one
+    writes.  Behind a failed step up to ``ahead - 1`` have begun by then; they are waited for, count as not
+    run and run again with the rest."""
     past = spark.table(log).where((F.col("run_id") == run_id) & F.lower("work_table").eqNullSafe(work_table.strip().lower()))
     known = past.groupBy("transformation_seq").agg(
         F.max("attempt").alias("attempt"), F.bool_or(F.col("status") == DONE).alias("done")).collect()
@@ -133,23 +139,32 @@ def run_logged(spark: SparkSession, steps: DataFrame, source_cd: str, work_table
             if int(r.transformation_seq) not in done]
     if audit:
         open_stored(spark, audit, run_id, scheduler, "I")
+    def attempt(seq: int, text: str) -> tuple[str, str, str | None, Exception | None]:
+        start, message, error = _now(), None, None
+        try:
+            message = execute(seq, spark.sql(text))
+        except Exception as e:  # whatever a step raises belongs in the log
+            error, message = e, f"{type(e).__name__}: {e}"[:1000]
+        return start, _now(), message, error
+
     ran, writer, failed = [], _LogWriter(spark, log), None
+    pool, begun = ThreadPoolExecutor(ahead), deque()
     try:
-        for r in todo:
-            seq, start, message, error = int(r.transformation_seq), _now(), None, None
-            try:
-                message = execute(seq, spark.sql(r.sql_statement))
-            except Exception as e:  # whatever a step raises belongs in the log
-                error, message = e, f"{type(e).__name__}: {e}"[:1000]
+        for i in range(len(todo)):
+            for r in todo[i + len(begun):i + ahead]:
+                begun.append(pool.submit(attempt, int(r.transformation_seq), r.sql_statement))
+            seq = int(todo[i].transformation_seq)
+            start, end, message, error = begun.popleft().result()
             writer.add({"run": run_id, "source": source_cd.strip(), "work": work_table.strip(), "seq": seq,
                         "attempt": attempts.get(seq, 0) + 1, "status": FAILED if error else DONE,
-                        "start": start, "end": _now(), "message": message})
+                        "start": start, "end": end, "message": message})
             if error:
                 failed = StepFailed(f"step {seq} of {work_table}: {message}")
                 failed.__cause__ = error
                 break
             ran.append(seq)
     finally:
+        pool.shutdown(cancel_futures=True)
         writer.close()
     if failed:
         if audit:

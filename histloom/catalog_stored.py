@@ -15,9 +15,9 @@ from .operators import batch
 from .operators.history import classify_changes, reflag_current
 from .plans import address, agreement, party
 from .plans.spec import checked_output, run_load, run_stored, target_columns
-from .sources.fixtures import Sources, load_sources
+from .sources.fixtures import PARTICIPANTS, Sources, load_sources
 from .sources.history_table import HistoryTable
-from .sources.io import cut_lineage, refresh_statistics, scratch_path
+from .sources.io import cut_lineage, cuts_made, refresh_statistics, release_cuts, scratch_path
 from .sources.tables import append_by_name, column_statistics, insert_columns, scratch_table, table_statistics
 from .sources.versions import VersionedTable
 from .plans.targets import struct_type
@@ -76,13 +76,17 @@ def q_audit_close_in_place(spark, sf):
 def q_append_by_name(spark, sf):
     """The three address loads, each compared with the stored table and appended to it
     by its own column list (all-NULL columns are left to the table)."""
-    src = load_sources(spark, sf)
+    start = cuts_made()
+    src = load_sources(spark, sf, PARTICIPANTS)
     layout = target_columns(address.ADDRESS_LOADS[0].layout)
     name = scratch_table(spark, "address", struct_type(layout))
     for spec in address.ADDRESS_LOADS:
+        made = cuts_made()
         new = run_load(spec, src, spark.table(name), AS_OF)
         mine = [c for c in reversed(new.columns) if c not in ("address_street_4_txt", "address_validation_cde")]
         append_by_name(new.select(*mine), name)
+        release_cuts(spark, made)
+    release_cuts(spark, start)
     refresh_statistics(spark, name)
     return checked_output(spark.table(name))
 

@@ -46,6 +46,12 @@ def test_only_what_the_result_reads_stays(spark, name):
     release_cuts(spark)
 
 
+def test_appended_addresses_leave_no_copies(spark):
+    release_cuts(spark)
+    n = catalog.QUERIES["append_by_name"](spark, SF_SMALL).count()
+    assert n and cuts_made() == 0
+
+
 def test_cuts_of_others_stay(spark):
     release_cuts(spark)
     own = cut_lineage(spark.range(3))
